@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerferry.functions.jsontext import lit
+from ledgerferry.functions.jsontext import lit, lits
 from ledgerferry.functions.scalars import ledger_key, not_found_message
 from ledgerferry.sources.storage import cut
 
@@ -33,37 +33,50 @@ def latest(rows: DataFrame, *values: str) -> DataFrame:
 def lookup(
     records: DataFrame,
     ledger_rows: DataFrame,
-    entity: str,
-    key: str,
-    found: str,
     value: str = "v2_value",
+    **wanted: tuple[str, str],
 ) -> DataFrame:
-    """Left join `records` to the success rows of `entity`, adding column `found`.
+    """Left join `records` to ledger success rows, one join per wanted column.
 
-    `key` is an expression for the old id; a blank one finds nothing. The ledger is first
-    shrunk to the keys asked for, so that only those rows are shuffled, however large it
-    is. No side is broadcast by hint: adaptive execution does it where the measured size
-    allows, and splits the partition of a key that many records share.
+    `wanted` maps a new column to (entity, key expression); a blank key finds nothing. The
+    ledger is first shrunk to all keys asked for at once, so that only those rows are
+    shuffled, however large it is. No side is broadcast by hint: adaptive execution does it
+    where the measured size allows, and splits the partition of a key that many records
+    share.
     """
-    sk = f"CASE WHEN {key} <> '' THEN {ledger_key('success', key)} END"
-    asked = records.selectExpr(f"{sk} AS sk").filter("sk IS NOT NULL").distinct()
-    successes = ledger_rows.filter(f"pk = {lit(entity)} AND result = 'success'").select(
-        "pk", "sk", value, "seq", "batch_id"
+    keys = {
+        column: f"CASE WHEN {key} <> '' THEN {ledger_key('success', key)} END"
+        for column, (_, key) in wanted.items()
+    }
+    pairs = ", ".join(
+        f"named_struct('pk', {lit(entity)}, 'sk', {keys[column]})"
+        for column, (entity, _) in wanted.items()
     )
-    answers = latest(successes.join(asked, "sk", "left_semi"), value).selectExpr(
-        "sk AS lookup_sk", f"{value} AS {found}"
-    )
-    return (
-        records.selectExpr("*", f"{sk} AS lookup_sk")
-        .join(answers, "lookup_sk", "left")
-        .drop("lookup_sk")
+    asked = records.selectExpr(f"inline(array({pairs}))").filter("sk IS NOT NULL").distinct()
+    entities = sorted({entity for entity, _ in wanted.values()})
+    successes = ledger_rows.filter(f"pk IN ({lits(tuple(entities))}) AND result = 'success'")
+    found = latest(
+        successes.select("pk", "sk", value, "seq", "batch_id").join(
+            asked, ["pk", "sk"], "left_semi"
+        ),
+        value,
     )
+    joined = records.selectExpr("*", *[f"{key} AS key_{column}" for column, key in keys.items()])
+    for column, (entity, _) in wanted.items():
+        answers = found.filter(f"pk = {lit(entity)}").selectExpr(
+            f"sk AS key_{column}", f"{value} AS {column}"
+        )
+        joined = joined.join(answers, f"key_{column}", "left").drop(f"key_{column}")
+    return joined
 
 
-def require(records: DataFrame, entity: str, key: str, found: str) -> DataFrame:
+def require(
+    records: DataFrame, entity: str, key: str, found: str, where: str = "true"
+) -> DataFrame:
     """Set `failure` on records whose required lookup found nothing; the first one counts."""
     missing = (
-        f"CASE WHEN coalesce({found}, '') = '' THEN {not_found_message(entity, key)} END"
+        f"CASE WHEN coalesce({found}, '') = '' AND {where}"
+        f" THEN {not_found_message(entity, key)} END"
     )
     if "failure" not in records.columns:
         return records.selectExpr("*", f"{missing} AS failure")

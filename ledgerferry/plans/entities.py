@@ -10,7 +10,6 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ledgerferry.config import MigrationConfig
 from ledgerferry.functions.jsontext import json_array_of, json_object, lit, quote
@@ -203,35 +202,37 @@ def fms_payload(config: MigrationConfig) -> str:
     return json_object({"deal_id": as_json(attr("deal_id")), "fms": as_json(attr("fms"))})
 
 
+ORGANIZATION = ("organization", id_text("organization_id"))
+USER_GROUP = ("user_group", id_text("user_group_id"))
+TEAM_LEAD = ("user", text_of(attr("team_lead_user_id"), "S"))
+
+
 def find_organization(records: DataFrame, ledger_rows: DataFrame) -> DataFrame:
-    key = id_text("organization_id")
-    found = lookup(records, ledger_rows, "organization", key, "organization_v2")
-    return require(found, "organization", key, "organization_v2")
+    found = lookup(records, ledger_rows, organization_v2=ORGANIZATION)
+    return require(found, *ORGANIZATION, "organization_v2")
 
 
 def find_account_parents(records: DataFrame, ledger_rows: DataFrame) -> DataFrame:
     """Organization is required, the user group is not."""
-    return lookup(
-        find_organization(records, ledger_rows),
-        ledger_rows,
-        "user_group",
-        id_text("user_group_id"),
-        "user_group_v2",
+    found = lookup(
+        records, ledger_rows, organization_v2=ORGANIZATION, user_group_v2=USER_GROUP
     )
+    return require(found, *ORGANIZATION, "organization_v2")
 
 
-TEAM_LEAD = text_of(attr("team_lead_user_id"), "S")
+def find_user_parents(records: DataFrame, ledger_rows: DataFrame) -> DataFrame:
+    found = lookup(records, ledger_rows, organization_v2=ORGANIZATION, team_lead_v2=TEAM_LEAD)
+    return require_team_lead(require(found, *ORGANIZATION, "organization_v2"))
 
 
-def find_user_parents(records: DataFrame, ledger_rows: DataFrame) -> DataFrame:
-    """The team lead is looked up, and then required, only where it is given as text."""
-    found = lookup(
-        find_organization(records, ledger_rows), ledger_rows, "user", TEAM_LEAD, "team_lead_v2"
-    )
-    checked = require(found.withColumnRenamed("failure", "no_organization"), "user", TEAM_LEAD, "team_lead_v2")
-    return checked.withColumn(
-        "failure", F.expr(f"coalesce(no_organization, if({TEAM_LEAD} IS NULL, NULL, failure))")
-    ).drop("no_organization")
+def find_team_lead(records: DataFrame, ledger_rows: DataFrame) -> DataFrame:
+    """For users whose organization is resolved already."""
+    return require_team_lead(lookup(records, ledger_rows, team_lead_v2=TEAM_LEAD))
+
+
+def require_team_lead(found: DataFrame) -> DataFrame:
+    """A team lead is required only where one is given as text."""
+    return require(found, *TEAM_LEAD, "team_lead_v2", where=f"{TEAM_LEAD[1]} IS NOT NULL")
 
 
 SPECS: dict[str, EntitySpec] = {
@@ -284,9 +285,13 @@ def build_requests(
     config: MigrationConfig,
     ledger_rows: DataFrame | None = None,
 ) -> DataFrame:
-    """Request rows of an entity's records. A failed lookup keeps the record as payload."""
-    if spec.prepare:
-        rows = spec.prepare(records, ledger_rows)
+    """Request rows of an entity's records. A failed lookup keeps the record as payload.
+
+    Records that went through the spec's `prepare` already carry a `failure` column.
+    """
+    prepared = "failure" in records.columns
+    if prepared or spec.prepare:
+        rows = records if prepared else spec.prepare(records, ledger_rows)
         payload = f"if(failure IS NULL, {spec.payload(config)}, {record_json()})"
     else:
         rows = records.selectExpr("*", f"{NO_TEXT} AS failure")
