@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from ledgerferry.functions.jsontext import lit, lits
 from ledgerferry.functions.scalars import strip
+from ledgerferry.operators.once import once
 
 # What counts as success, and where an id is looked for.
 OK_CODE_TEXT = "200"
@@ -28,8 +29,9 @@ def json_at(value: str, path: str = "$") -> str:
 
 def text_at(value: str, path: str) -> str:
     """String at a path; null when it is absent or not a string."""
+    found = f"variant_get({value}, {lit(path)}, 'variant')"
     return (
-        f"CASE WHEN startswith({json_at(value, path)}, '\"')"
+        f"CASE WHEN schema_of_variant({found}) = 'STRING'"
         f" THEN variant_get({value}, {lit(path)}, 'string') END"
     )
 
@@ -47,12 +49,9 @@ def json_truthy(fragment: str) -> str:
     )
 
 
-def json_items(value: str, path: str) -> str:
+def json_items(value: str, path: str = "$") -> str:
     """Elements of the JSON array at a path as variants; null when it is no array."""
-    return (
-        f"CASE WHEN startswith({json_at(value, path)}, '[')"
-        f" THEN variant_get({value}, {lit(path)}, 'array<variant>') END"
-    )
+    return f"try_variant_get({value}, {lit(path)}, 'array<variant>')"
 
 
 EMPTY_ITEMS = "CAST(array() AS array<variant>)"
@@ -69,14 +68,18 @@ def _outcome(success: str, response: str, error: str) -> str:
 def parse_bodies(rows: DataFrame, body: str = "body") -> DataFrame:
     """Parse each body once, into columns that the outcome rules share.
 
-    Adds `value`, the body as a variant, and `inner_text` and `inner`, the response that
-    is wrapped in it as text.
+    Adds `value`, the body as a variant; `inner_text` and `inner`, the response that is
+    wrapped in it as text; and `items`, text and status code of a wrapped list of results
+    (empty when there is no list, null when it is something else).
     """
-    return (
-        rows.selectExpr("*", f"try_parse_json({body}) AS value")
-        .selectExpr("*", f"{text_at('value', '$.api_response')} AS inner_text")
-        .selectExpr("*", "try_parse_json(inner_text) AS inner")
+    item = f"named_struct('json', to_json(x), 'code', {json_at('x', '$.statusCode')})"
+    items = (
+        f"transform(if(variant_get(inner, '$.result', 'variant') IS NULL, {EMPTY_ITEMS},"
+        f" {json_items('inner', '$.result')}), x -> {item})"
     )
+    valued = once(rows, value=f"try_parse_json({body})")
+    unwrapped = once(valued, inner_text=text_at("value", "$.api_response"))
+    return once(once(unwrapped, inner="try_parse_json(inner_text)"), items=items)
 
 
 def single_outcome(body: str = "body") -> str:
@@ -124,19 +127,15 @@ def bulk_results(body: str = "body") -> str:
 
     Null when the answer cannot be read.
     """
-    listed = json_at("inner", "$.result")
-    code = json_at("x", "$.statusCode")
     ok = (
-        f"coalesce(NOT startswith({code}, '\"')"
-        f" AND try_cast({code} AS DOUBLE) = {int(OK_CODE_TEXT)}, false)"
+        f"coalesce(NOT startswith(x.code, '\"')"
+        f" AND try_cast(x.code AS DOUBLE) = {int(OK_CODE_TEXT)}, false)"
     )
-    items = f"if({listed} IS NULL, {EMPTY_ITEMS}, {json_items('inner', '$.result')})"
     readable = (
         f"{is_object(body)} AND {is_object('inner_text')} AND inner IS NOT NULL"
-        f" AND NOT exists({items}, x -> NOT startswith(to_json(x), '{{'))"
+        f" AND NOT exists(items, x -> NOT startswith(x.json, '{{'))"
     )
-    outcome = _outcome(ok, "to_json(x)", "to_json(x)")
-    return f"CASE WHEN {readable} THEN transform({items}, x -> {outcome}) END"
+    return f"CASE WHEN {readable} THEN transform(items, x -> {_outcome(ok, 'x.json', 'x.json')}) END"
 
 
 def bulk_error() -> str:

@@ -20,6 +20,7 @@ from ledgerferry.functions.tagged import (
     decode_value,
     text_of,
 )
+from ledgerferry.operators.once import once
 from ledgerferry.schemas import DECODED, TAGGED_MAP
 
 HIDDEN_ATTRIBUTES = ("SizeBytes",)
@@ -56,31 +57,25 @@ def decode(
         f" WHEN exists(map_values(attrs), v -> {nested} AND contains(v.text, {TOO_DEEP}))"
         f" THEN '{TOO_DEEP_REASON}' END"
     )
-    return (
-        changes.selectExpr(
-            f"CAST({order} AS BIGINT) AS seq", f"{event} AS event_name", f"{image} AS raw"
-        )
-        .filter("raw IS NOT NULL")
-        .selectExpr("*", f"from_json(raw, {lit(TAGGED_MAP)}) AS tagged")
-        .selectExpr(
-            "seq",
-            "event_name",
-            "raw",
-            f"map_from_entries(transform(filter({LAST_WINS}, e -> e.key NOT IN"
-            f" ({lits(HIDDEN_ATTRIBUTES)})),"
-            f" e -> struct(e.key, {decode_value('e.value')}))) AS attrs",
-        )
-        .filter("attrs IS NULL OR size(attrs) > 0")
-        .selectExpr("*", f"{reason} AS reject_reason")
-        .selectExpr(
-            "seq",
-            "event_name",
-            f"{key_text('pk')} AS pk",
-            f"{key_text('sk')} AS sk",
-            "CASE WHEN reject_reason IS NULL THEN attrs END AS attrs",
-            "CASE WHEN reject_reason IS NOT NULL THEN raw END AS raw",
-            "reject_reason",
-        )
+    images = changes.selectExpr(
+        f"CAST({order} AS BIGINT) AS seq", f"{event} AS event_name", f"{image} AS raw"
+    ).filter("raw IS NOT NULL")
+    tagged = once(images, tagged=f"from_json(raw, {lit(TAGGED_MAP)})")
+    attrs = once(
+        tagged,
+        where="x.attrs IS NULL OR size(x.attrs) > 0",
+        attrs=f"map_from_entries(transform(filter({LAST_WINS}, e -> e.key NOT IN"
+        f" ({lits(HIDDEN_ATTRIBUTES)})),"
+        f" e -> struct(e.key, {decode_value('e.value')})))",
+    )
+    return once(attrs, reject_reason=reason).selectExpr(
+        "seq",
+        "event_name",
+        f"{key_text('pk')} AS pk",
+        f"{key_text('sk')} AS sk",
+        "if(reject_reason IS NULL, attrs, NULL) AS attrs",
+        "if(reject_reason IS NULL, NULL, raw) AS raw",
+        "reject_reason",
     )
 
 

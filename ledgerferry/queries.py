@@ -71,6 +71,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a scan over at least as many tasks as there are cores.
+
+    A table of one small file is read by one task, which would then do all the decoding.
+    Tables of many files are left as they are.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 # --- adapters ---------------------------------------------------------------------------
 
 
@@ -108,7 +118,7 @@ def image(pk: str, sk: str, **attributes: str) -> str:
 
 
 def changes(rows: DataFrame, seq: str, new_image: str) -> DataFrame:
-    return rows.selectExpr(
+    return spread(rows).selectExpr(
         f"CAST({seq} AS BIGINT) AS seq",
         "'INSERT' AS eventName",
         f"named_struct('NewImage', {new_image}) AS dynamodb",
@@ -735,7 +745,7 @@ def response_single(spark: SparkSession, sf_dir: str) -> DataFrame:
         " ELSE '{\"error\":null}' END"
     )
     bodies = parse_bodies(
-        table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{body} AS body")
+        spread(table(spark, sf_dir, "orders")).selectExpr("o_orderkey", f"{body} AS body")
     )
     return (
         bodies.selectExpr("o_orderkey", f"{single_outcome()} AS outcome")
@@ -768,7 +778,7 @@ def response_bulk_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
         " 'total_records_count', 2))"
     )
     bodies = parse_bodies(
-        table(spark, sf_dir, "lineitem").selectExpr("l_returnflag", f"{body} AS body")
+        spread(table(spark, sf_dir, "lineitem")).selectExpr("l_returnflag", f"{body} AS body")
     )
     stated = [f"{bulk_total(name)} AS {name}" for name in TOTAL_FIELDS]
     return (
@@ -1094,7 +1104,7 @@ def ledger_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         "if(value >= 10, to_json(named_struct('data',"
         " named_struct('application_id', concat('v2-', event_id)))), '{\"status\":false}')"
     )
-    log = table(spark, sf_dir, "events").selectExpr(
+    log = spread(table(spark, sf_dir, "events")).selectExpr(
         "event_type AS pk",
         "CAST(user_id AS STRING) AS sk",
         "CAST(user_id AS STRING) AS base_key",
