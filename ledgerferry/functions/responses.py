@@ -36,6 +36,11 @@ def text_at(value: str, path: str) -> str:
     )
 
 
+def is_absent(value: str, path: str) -> str:
+    """No such path; a JSON null is there."""
+    return f"(variant_get({value}, {lit(path)}, 'variant') IS NULL)"
+
+
 def is_object(text: str) -> str:
     return f"coalesce(startswith({strip(text)}, '{{'), false)"
 
@@ -68,17 +73,24 @@ def _outcome(success: str, response: str, error: str) -> str:
 def parse_bodies(rows: DataFrame, body: str = "body") -> DataFrame:
     """Parse each body once, into columns that the outcome rules share.
 
-    Adds `value`, the body as a variant; `inner_text` and `inner`, the response that is
-    wrapped in it as text; and `items`, text and status code of a wrapped list of results
-    (empty when there is no list, null when it is something else).
+    Adds `value`, the body as a variant; whether it is `wrapped` or `errored`, and what
+    status it `said`; `inner_text` and `inner`, the response that is wrapped in it as text;
+    and `items`, text and status code of a wrapped list of results (empty when there is no
+    list, null when it is something else).
     """
     item = f"named_struct('json', to_json(x), 'code', {json_at('x', '$.statusCode')})"
     items = (
-        f"transform(if(variant_get(inner, '$.result', 'variant') IS NULL, {EMPTY_ITEMS},"
+        f"transform(if({is_absent('inner', '$.result')}, {EMPTY_ITEMS},"
         f" {json_items('inner', '$.result')}), x -> {item})"
     )
     valued = once(rows, value=f"try_parse_json({body})")
-    unwrapped = once(valued, inner_text=text_at("value", "$.api_response"))
+    unwrapped = once(
+        valued,
+        wrapped=f"NOT {is_absent('value', '$.api_response')}",
+        errored=f"NOT {is_absent('value', '$.error')}",
+        said=json_at("value", "$.status"),
+        inner_text=text_at("value", "$.api_response"),
+    )
     return once(once(unwrapped, inner="try_parse_json(inner_text)"), items=items)
 
 
@@ -88,15 +100,14 @@ def single_outcome(body: str = "body") -> str:
     The first matching rule wins.
     """
     none = "CAST(NULL AS STRING)"
-    wrapped, status = json_at("value", "$.api_response"), json_at("value", "$.status")
     code_ok = f"coalesce({json_at('inner', '$.statusCode')} = '\"{OK_CODE_TEXT}\"', false)"
     status_ok = (
-        f"CASE WHEN {status} IN ('true', 'false') THEN {status} = 'true'"
+        f"CASE WHEN said IN ('true', 'false') THEN said = 'true'"
         f" ELSE upper(coalesce({text_at('value', '$.status')}, '')) IN ({lits(OK_STATUS_TEXTS)}) END"
     )
     # An answer that is no object passes unless it mentions one of the envelope keys.
     listed = (
-        f"exists({json_items('value', '$')}, x -> to_json(x) IN"
+        f"exists({json_items('value')}, x -> to_json(x) IN"
         f" ({lits(tuple(f'\"{k}\"' for k in ENVELOPE_KEYS))}))"
     )
     bare_ok = (
@@ -111,13 +122,13 @@ def single_outcome(body: str = "body") -> str:
     return (
         f"CASE WHEN value IS NULL THEN {failed('Response is not JSON')}"
         f" WHEN NOT {is_object(body)} THEN {_outcome(bare_ok, body, lit('Response is not an object'))}"
-        f" WHEN {wrapped} IS NOT NULL THEN CASE"
+        f" WHEN wrapped THEN CASE"
         f" WHEN inner_text IS NULL THEN {failed('Api response is not text')}"
         f" WHEN inner IS NULL THEN {failed('Failed to parse api response')}"
         f" WHEN NOT {is_object('inner_text')} THEN {failed('Api response is not an object')}"
         f" ELSE {_outcome(code_ok, 'inner_text', 'inner_text')} END"
-        f" WHEN {json_at('value', '$.error')} IS NOT NULL THEN {_outcome('false', none, body)}"
-        f" WHEN {status} IS NOT NULL THEN {_outcome(status_ok, body, body)}"
+        f" WHEN errored THEN {_outcome('false', none, body)}"
+        f" WHEN said IS NOT NULL THEN {_outcome(status_ok, body, body)}"
         f" ELSE {_outcome('true', body, none)} END"
     )
 
@@ -141,8 +152,8 @@ def bulk_results(body: str = "body") -> str:
 def bulk_error() -> str:
     """Why `bulk_results` is null."""
     return (
-        f"CASE WHEN {json_at('value', '$.api_response')} IS NULL"
-        f" THEN 'Invalid response format' ELSE 'Failed to parse api response' END"
+        "CASE WHEN wrapped THEN 'Failed to parse api response'"
+        " ELSE 'Invalid response format' END"
     )
 
 
@@ -152,31 +163,26 @@ def bulk_total(name: str) -> str:
     return f"CASE WHEN {total} IS NULL THEN 0 ELSE try_cast({total} AS BIGINT) END"
 
 
-def new_id(value: str, response: str) -> str:
-    """Id the target gave the record, as text; null when the response carries none.
+def with_new_id(rows: DataFrame, response: str = "response") -> DataFrame:
+    """Add `v2_value`, the id the target gave the record, as text; null when there is none.
 
-    `value` is the parsed `response`.
+    The first holder that is filled decides, and must be an object.
     """
-
-    def id_in(holder: str) -> str:
-        cases = ""
-        for name in ID_FIELDS:
-            path = f"$.{holder}.{name}"
-            fragment = json_at(value, path)
-            text = (
-                f"CASE WHEN startswith({fragment}, '\"')"
-                f" THEN variant_get({value}, {lit(path)}, 'string')"
-                f" WHEN {fragment} = 'true' THEN 'True' ELSE {fragment} END"
-            )
-            cases += f" WHEN {json_truthy(fragment)} THEN {text}"
-        held = json_at(value, f"$.{holder}")
-        return f"CASE WHEN startswith({held}, '{{') THEN CASE{cases} END END"
-
-    holders = "".join(
-        f" WHEN {json_truthy(json_at(value, f'$.{holder}'))} THEN {id_in(holder)}"
-        for holder in ID_HOLDERS
+    parsed = once(rows, answer=f"try_parse_json({response})")
+    seen = once(parsed, **{f"in_{h}": json_at("answer", f"$.{h}") for h in ID_HOLDERS})
+    choices = "".join(
+        f" WHEN {json_truthy(f'in_{h}')} THEN variant_get(answer, '$.{h}', 'variant')"
+        for h in ID_HOLDERS
+    )
+    held = once(seen, holder=f"CASE{choices} END")
+    named = once(held, **{f"as_{f}": json_at("holder", f"$.{f}") for f in ID_FIELDS})
+    texts = "".join(
+        f" WHEN {json_truthy(f'as_{f}')} THEN CASE"
+        f" WHEN startswith(as_{f}, '\"') THEN variant_get(holder, '$.{f}', 'string')"
+        f" WHEN as_{f} = 'true' THEN 'True' ELSE as_{f} END"
+        for f in ID_FIELDS
     )
-    return f"CASE WHEN {is_object(response)} THEN CASE{holders} END END"
+    return named.selectExpr(*rows.columns, f"CASE{texts} END AS v2_value")
 
 
 def transport_failure() -> str:

@@ -97,7 +97,9 @@ def chain_levels(nodes: DataFrame, node: str, leader: str) -> DataFrame:
     `node` is unique; a leader that is null or not in the table ends the chain. Nodes on
     or below a cycle get a null level. Pointer doubling: a round replaces every pointer by
     its target's pointer, so a chain of n nodes takes log2(n) rounds, and finished nodes
-    are not joined again. Rounds are cut by written tables, so no plan grows with depth.
+    are not joined again. As long as a chain without a cycle is unfinished, every round
+    finishes some node; a round that finishes none leaves only cycles. Rounds are cut by
+    written tables, so no plan grows with depth.
     """
     links = nodes.selectExpr(f"{node} AS node", f"{leader} AS up")
     known = links.selectExpr("node AS up", "true AS is_known")
@@ -108,9 +110,8 @@ def chain_levels(nodes: DataFrame, node: str, leader: str) -> DataFrame:
             "CAST(if(is_known, 1, 0) AS BIGINT) AS level",
         )
     )
-    total, active = state.agg(F.count("node"), F.count("up")).first()
-    rounds = 0
-    while active and rounds <= max(total, 1).bit_length():
+    active, before = state.agg(F.count("up")).first()[0], None
+    while active and active != before:
         target = state.selectExpr("node AS up", "up AS next_up", "level AS more")
         moved = (
             state.filter("up IS NOT NULL")
@@ -118,7 +119,6 @@ def chain_levels(nodes: DataFrame, node: str, leader: str) -> DataFrame:
             .selectExpr("node", "next_up AS up", "level + more AS level")
         )
         state = cut(state.filter("up IS NULL").unionByName(moved))
-        active = state.agg(F.count("up")).first()[0]
-        rounds += 1
+        active, before = state.agg(F.count("up")).first()[0], active
     levels = state.selectExpr(f"node AS {node}", "if(up IS NULL, level, NULL) AS level")
     return nodes.join(levels, node, "left")

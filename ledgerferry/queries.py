@@ -18,9 +18,9 @@ from ledgerferry.functions.responses import (
     TOTAL_FIELDS,
     bulk_results,
     bulk_total,
-    new_id,
     parse_bodies,
     single_outcome,
+    with_new_id,
 )
 from ledgerferry.functions.scalars import (
     integral,
@@ -33,6 +33,7 @@ from ledgerferry.functions.tagged import attr, has, record_json, text_of
 from ledgerferry.operators.decode import accepted, decode
 from ledgerferry.operators.lookup import attach_parent, chain_levels, latest, lookup, require
 from ledgerferry.operators.merge import merge_final, merge_running, merged_roles
+from ledgerferry.operators.once import once
 from ledgerferry.operators.routing import route
 from ledgerferry.plans.children import (
     bulk_requests,
@@ -747,13 +748,8 @@ def response_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     bodies = parse_bodies(
         spread(table(spark, sf_dir, "orders")).selectExpr("o_orderkey", f"{body} AS body")
     )
-    return (
-        bodies.selectExpr("o_orderkey", f"{single_outcome()} AS outcome")
-        .selectExpr(
-            "o_orderkey", "outcome.*", "try_parse_json(outcome.response) AS answer"
-        )
-        .selectExpr("o_orderkey", "is_success", f"{new_id('answer', 'response')} AS v2_value")
-    )
+    outcomes = once(bodies, outcome=single_outcome()).selectExpr("o_orderkey", "outcome.*")
+    return with_new_id(outcomes).select("o_orderkey", "is_success", "v2_value")
 
 
 @query(
@@ -782,7 +778,8 @@ def response_bulk_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     stated = [f"{bulk_total(name)} AS {name}" for name in TOTAL_FIELDS]
     return (
-        bodies.selectExpr("l_returnflag", f"{bulk_results()} AS results", *stated)
+        once(bodies, results=bulk_results())
+        .selectExpr("l_returnflag", "results", *stated)
         .selectExpr(
             "*",
             "size(filter(results, r -> r.is_success)) AS ok",
