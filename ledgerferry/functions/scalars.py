@@ -29,7 +29,8 @@ def to_epoch_seconds(text: str) -> str:
     """
 
     def field(start: int) -> str:
-        return f"coalesce(try_cast(substring({text}, {start}, 2) AS INT), 0)"
+        # An absent field is nulled first: a failing cast costs an exception per row.
+        return f"coalesce(try_cast(nullif(substring({text}, {start}, 2), '') AS INT), 0)"
 
     hour, minute, second = field(12), field(15), field(18)
     days = f"unix_date(try_cast(substring({text}, 1, 10) AS DATE))"

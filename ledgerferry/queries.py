@@ -36,11 +36,9 @@ from ledgerferry.operators.merge import merge_final, merge_running, merged_roles
 from ledgerferry.operators.once import once
 from ledgerferry.operators.routing import route
 from ledgerferry.plans.children import (
-    bulk_requests,
-    document_map_requests,
-    document_maps,
-    document_requests,
-    documents,
+    bulk_children,
+    document_children,
+    expand,
     manager_requests,
 )
 from ledgerferry.plans.entities import FMS, KEY_ATTRIBUTES, SPECS, build_requests
@@ -145,13 +143,13 @@ def ledger_of(rows: DataFrame, pk: str, key: str, success: str) -> DataFrame:
 
 def read_payload(requests: DataFrame, schema: str, *columns: str) -> DataFrame:
     """Requests with their JSON payload read back as columns of `p`."""
-    return requests.selectExpr("*", f"from_json(payload, {lit(schema)}) AS p").selectExpr(*columns)
+    return once(requests, p=f"from_json(payload, {lit(schema)})").selectExpr(*columns)
 
 
 def read_app_request(requests: DataFrame, schema: str, *columns: str) -> DataFrame:
     """The same for payloads that carry the body as embedded text."""
     body = f"from_json(get_json_object(payload, '$.api_request'), {lit(schema)})"
-    return requests.selectExpr("*", f"{body} AS p").selectExpr(*columns)
+    return once(requests, p=body).selectExpr(*columns)
 
 
 # --- decoding and routing ---------------------------------------------------------------
@@ -371,7 +369,7 @@ def payload_filter_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     payload = record_json(KEY_ATTRIBUTES, rename={"s_nationkey": "nation_id"})
-    return decoded.selectExpr("seq AS s_suppkey", f"{payload} AS payload").selectExpr(
+    return once(decoded, payload=payload).selectExpr("seq AS s_suppkey", "payload").selectExpr(
         "s_suppkey",
         "get_json_object(payload, '$.s_name') AS s_name",
         "CAST(get_json_object(payload, '$.nation_id') AS DOUBLE) AS nation_id",
@@ -577,12 +575,8 @@ def order_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def fanout_single(spark: SparkSession, sf_dir: str) -> DataFrame:
-    maps = document_maps(order_deals(spark, sf_dir))
-    requests = document_map_requests(maps, CONFIG).unionByName(
-        document_requests(documents(maps), CONFIG)
-    )
     return read_payload(
-        requests,
+        expand(order_deals(spark, sf_dir), document_children(CONFIG)),
         "deal_id string, loan_document_map struct<status:string>, name string,"
         " storage_path string, size bigint",
         "base_key",
@@ -616,7 +610,7 @@ def fanout_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
         "participant_id:string>>"
     )
     return read_app_request(
-        bulk_requests(order_deals(spark, sf_dir), CONFIG),
+        expand(order_deals(spark, sf_dir), bulk_children(CONFIG)),
         item,
         "base_key",
         "CAST(size(p.record_create_list) AS BIGINT) AS n_items",
