@@ -29,7 +29,7 @@ from ledgerferry.functions.scalars import (
     to_integer,
     to_string_array,
 )
-from ledgerferry.functions.tagged import attr, has, record_json, text_of
+from ledgerferry.functions.tagged import attr, has, record_json
 from ledgerferry.operators.decode import accepted, decode
 from ledgerferry.operators.lookup import attach_parent, chain_levels, latest, lookup, require
 from ledgerferry.operators.merge import merge_final, merge_running, merged_roles
