@@ -7,13 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerferry.llm import bpe, mixing, secrets, templates
+from ledgerferry.llm import bpe, langid, mixing, secrets, templates, toxicity
 from ledgerferry.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "word_bpe_49k.json"
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train([tuple(r) for r in langid.training_rows(docs).collect()])
+    return langid.digest(langid.predict(docs, model))
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secrets.digest(secrets.scan(docs, secrets.train(secrets.training_samples(docs))))
@@ -24,6 +30,12 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.read_back(templates.format_conversations(turns))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    network = toxicity.train([tuple(r) for r in toxicity.training_rows(docs, table(spark, sf_dir, "labels")).collect()])
+    return toxicity.digest(toxicity.score(docs, network))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -35,8 +47,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language": op1_language,
     "op2_secrets": op2_secrets,
     "op3_chat": op3_chat,
+    "op5_toxicity": op5_toxicity,
     "op6_mixing": op6_mixing,
     "op9_bpe": op9_bpe,
 }
