@@ -50,7 +50,7 @@ def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     named = named.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & (bucket("id", HELD_OUT_MOD) != HELD_OUT))
     first = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
     chosen = named.select("id", "lang").distinct().withColumn("k", first).where(F.col("k") <= TRAIN_DOCS).select("id", "lang")
-    return named.join(chosen, ["id", "lang"], "left_semi").select("text", "lang")
+    return named.join(F.broadcast(chosen), ["id", "lang"], "left_semi").select("text", "lang")
 
 
 class Model:

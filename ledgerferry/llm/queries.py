@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerferry.llm import bpe, langid, mixing, secrets, templates, toxicity
+from ledgerferry.llm import bpe, covertree, langid, mixing, neighbours, secrets, templates, toxicity
 from ledgerferry.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.read_back(templates.format_conversations(turns))
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), f"id % {neighbours.EVERY} = 0")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     network = toxicity.train([tuple(r) for r in toxicity.training_rows(docs, table(spark, sf_dir, "labels")).collect()])
@@ -40,6 +44,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     encoded = bpe.encode(table(spark, sf_dir, "documents"), path)
@@ -50,8 +58,10 @@ QUERIES: dict[str, Query] = {
     "op1_language": op1_language,
     "op2_secrets": op2_secrets,
     "op3_chat": op3_chat,
+    "op4_neighbours": op4_neighbours,
     "op5_toxicity": op5_toxicity,
     "op6_mixing": op6_mixing,
+    "op7_near_vectors": op7_near_vectors,
     "op9_bpe": op9_bpe,
 }
 
