@@ -297,11 +297,12 @@ def decode(encoded: DataFrame, path: str, spaced: bool = False, keep_ids: bool =
     return encoded.select("id", "ids").mapInArrow(run, f"id {kind}, text string" + ", ids binary" * keep_ids)
 
 
-def digest(decoded: DataFrame) -> DataFrame:
+def digest(decoded: DataFrame, keep_ids: bool = False) -> DataFrame:
     """Token counts and digests of decoded rows that kept their ids."""
     return decoded.select(
         F.col("id").alias("doc_id"),
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2(F.col("ids"), 256).alias("ids_sha256"),
         F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"),
+        *["ids"] * keep_ids,
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerferry.llm import bpe, covertree, langid, mixing, neighbours, secrets, templates, toxicity
+from ledgerferry.llm import bpe, covertree, jaccard, langid, mixing, neighbours, pages, secrets, templates, toxicity
 from ledgerferry.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,12 +48,20 @@ def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.digest(pages.extract(table(spark, sf_dir, "pages"), pages.train()))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     encoded = bpe.encode(table(spark, sf_dir, "documents"), path)
     return bpe.digest(bpe.decode(encoded, path, spaced=True, keep_ids=True))
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.digest(jaccard.join(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language": op1_language,
     "op2_secrets": op2_secrets,
@@ -62,7 +70,9 @@ QUERIES: dict[str, Query] = {
     "op5_toxicity": op5_toxicity,
     "op6_mixing": op6_mixing,
     "op7_near_vectors": op7_near_vectors,
+    "op8_html": op8_html,
     "op9_bpe": op9_bpe,
+    "op10_jaccard": op10_jaccard,
 }
 
 #: What SQL can express.

@@ -155,14 +155,13 @@ def redact(docs: DataFrame, ratios: list[float], id_col: str = "doc_id", text_co
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     held = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    found = scan(docs.select(held, text.alias("text")), ratios, "row", "text")
+    found = scan(docs.select(held, text.alias("text")), ratios, "row", "text").withColumnRenamed("id", "row")
 
     def step(state: Column, span: Column) -> Column:
-        start = F.greatest(state["at"], span["start"])
         gap = F.substring("whole", state["at"] + 1, F.greatest(F.lit(0), span["start"] - state["at"]))
-        new = (span["start"] >= state["at"]) | (state["at"] == 0)
+        new = span["start"] >= state["at"]
         out = F.concat(state["out"], F.when(new, F.array(gap, F.lit(mark))).otherwise(F.array().cast("array<string>")))
-        return F.struct(F.greatest(start, span["end"]).alias("at"), out.alias("out"))
+        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
 
     whole = found.select("row", "found", F.coalesce(F.col(f"row.`{text_col}`"), F.lit("")).alias("whole"))
     done = F.aggregate("found", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step)

@@ -35,6 +35,8 @@ TRAIN_TOXIC, TRAIN_CLEAN = 800, 1_600
 BATCH, ROUNDS, STEPS = 128, 4, 100
 FEATURES = 48
 HELD_OUT_MOD, HELD_OUT = 5, 0
+#: From this score on a text counts as toxic.
+LIMIT = 0.5
 #: Windows that run side by side.
 SIDE = 4_096
 
@@ -238,38 +240,56 @@ def train(rows: list[tuple[str, int]], seed: int = 11) -> Network | None:
 _tables: dict[str, WordTable] = {}
 
 
+def _worst(network: Network | None, column: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text: its score, its number of windows, and the first word of its worst one."""
+    texts = [WORD.findall((t or "").lower()) for t in column]
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    best, spot = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+    spots = [windows_of(n) for n in lengths]
+    count = np.fromiter(map(len, spots), np.int64, len(texts))
+    if network is None or not count.sum():
+        return best, count, spot
+    if network.key not in _tables:
+        _tables.clear()
+        _tables[network.key] = WordTable(network.gates, 6 * HIDDEN, 150_000)
+    words = _tables[network.key]
+    rows = words.look_up([w for t in texts for w in t])
+    base = np.cumsum(lengths) - lengths
+    owner = np.repeat(np.arange(len(texts)), count)
+    starts = np.concatenate(spots)
+    logits = network.score_windows(words.rows, rows, base[owner] + starts, np.minimum(WINDOW, lengths[owner] - starts))
+    some = np.flatnonzero(count)
+    first = (np.cumsum(count) - count)[some]
+    best[some] = sigmoid(np.maximum.reduceat(logits, first))
+    spot[some] = starts[np.lexsort((starts, -logits, owner))[first]]
+    return best, count, spot
+
+
 def score(docs: DataFrame, network: Network | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, score, n_windows, and the first word of its worst window."""
     held = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = held.value
-        if net is not None and net.key not in _tables:
-            _tables.clear()
-            _tables[net.key] = WordTable(net.gates, 6 * HIDDEN, 150_000)
         for batch in slices(batches, 512):
-            texts = [WORD.findall((t or "").lower()) for t in batch.column(1).to_pylist()]
-            lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-            best, spot = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-            spots = [windows_of(n) for n in lengths]
-            count = np.fromiter(map(len, spots), np.int64, len(texts))
-            if net is not None and count.sum():
-                rows = _tables[net.key].look_up([w for t in texts for w in t])
-                base = np.cumsum(lengths) - lengths
-                owner = np.repeat(np.arange(len(texts)), count)
-                starts = np.concatenate(spots)
-                logits = net.score_windows(_tables[net.key].rows, rows, base[owner] + starts, np.minimum(WINDOW, lengths[owner] - starts))
-                some = np.flatnonzero(count)
-                first = (np.cumsum(count) - count)[some]
-                best[some] = sigmoid(np.maximum.reduceat(logits, first))
-                order = np.lexsort((starts, -logits, owner))
-                spot[some] = starts[order[first]]
-            yield pa.record_batch([batch.column(0), pa.array(best), pa.array(count), pa.array(spot)], ["id", "score", "n_windows", "worst_word"])
+            values = _worst(held.value, batch.column(1).to_pylist())
+            yield pa.record_batch([batch.column(0), *map(pa.array, values)], ["id", "score", "n_windows", "worst_word"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, score double, n_windows long, worst_word long")
 
 
+def keep_clean(docs: DataFrame, network: Network | None, text_col: str = "text", limit: float = LIMIT) -> DataFrame:
+    """The documents that score below the limit, with all their columns."""
+    held = docs.sparkSession.sparkContext.broadcast(network)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 512):
+            yield batch.filter(pa.array(_worst(held.value, batch.column(at).to_pylist())[0] < limit))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def digest(scored: DataFrame) -> DataFrame:
     held = (bucket("doc_id", HELD_OUT_MOD) == HELD_OUT).alias("held_out")
-    return scored.withColumnRenamed("id", "doc_id").select("doc_id", held, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_windows", "worst_word")
+    return scored.withColumnRenamed("id", "doc_id").select("doc_id", held, "score", (F.col("score") >= LIMIT).cast("int").alias("predicted"), "n_windows", "worst_word")
