@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import uuid
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,15 +44,24 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
 
 
+@cache
+def _own_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"ledgerferry-{application}-")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path below the checkpoint folder that driver and executors share."""
-    jsc = spark.sparkContext._jsc.sc()
-    found = jsc.getCheckpointDir()
-    base = found.get() if found.isDefined() else spark.conf.get("spark.checkpoint.dir", None)
+    """A new path below spark.checkpoint.dir, the folder that driver and executors share.
+
+    Only where that is unset and Spark runs inside one process, as in tests, a folder of its own
+    takes its place.
+    """
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    uuid = spark.sparkContext._jvm.java.util.UUID.randomUUID().toString()
-    return f"{base.rstrip('/')}/{name}-{uuid}"
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = _own_dir(context.applicationId)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
