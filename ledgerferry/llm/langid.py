@@ -42,14 +42,18 @@ HELD_OUT_MOD, HELD_OUT = 4, 2
 
 
 def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(text, lang) of the first documents of each language by hash, held-out ones left out.
+    """(text, lang) of the first TRAIN_DOCS documents of each language by hash, held-out ones left out.
 
-    The ids are chosen from narrow rows; at most TRAIN_DOCS for each language are then joined.
+    Ids are chosen from narrow rows. Of a large language a share by hash that holds about
+    twice as many is ranked, so no task gets a whole language.
     """
     named = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     named = named.where(F.col("lang").isNotNull() & F.col("id").isNotNull() & (bucket("id", HELD_OUT_MOD) != HELD_OUT))
-    first = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    chosen = named.select("id", "lang").distinct().withColumn("k", first).where(F.col("k") <= TRAIN_DOCS).select("id", "lang")
+    spot = F.xxhash64("id")
+    share = F.least(F.lit(1.0), 2.0 * TRAIN_DOCS / F.col("rows")) * 2.0**63
+    few = named.select("id", "lang").join(F.broadcast(named.groupBy("lang").agg(F.count("*").alias("rows"))), "lang").where(F.abs(spot.cast("double")) <= share)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(spot, "id"))
+    chosen = few.distinct().withColumn("k", rank).where(F.col("k") <= TRAIN_DOCS).select("id", "lang")
     return named.join(F.broadcast(chosen), ["id", "lang"], "left_semi").select("text", "lang")
 
 
