@@ -8,9 +8,11 @@ DivideSkip sets the longest lists aside: what occurs T times on all lists occurs
 the n - T + 1 shortest. This divides the work in two:
 
 1. Candidates. Each document posts the shingles of its shortest lists (rare ones first, by a count
-   of the whole corpus kept in a sketch of fixed size) to shards by hash. A list joins those of its
-   documents whose sizes allow a link into groups, by a chain through the list, never by all pairs.
-   Groups that share documents are merged.
+   of the whole corpus kept in a sketch of fixed size) to shards by hash. A short list gives the
+   pairs of its documents whose sizes allow a link; parity bitmaps of the two sets, whose
+   distance is at most that of the sets, rule most of them out. A long list, which is as a rule a
+   group of near copies, is never paired out: a chain through its documents joins all that could
+   link. What stays joined makes the groups.
 2. Search. A group's sets meet in one task, or in a grid of tasks if they are many. There every
    document is searched with DivideSkip: a heap merges the short inverted lists and skips
    ahead, candidates are probed in the long ones by binary search, and those that reach the
@@ -30,11 +32,11 @@ import heapq
 import math
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,38 +45,72 @@ from ledgerferry.llm.components import components
 from ledgerferry.llm.covertree import Forest
 
 WORDS = 5
-#: Counters of the sketch, and the count at which a task reports one of them.
-SKETCH_BITS, REPORT = 22, 8
+#: Counters of the sketch (one byte each when broadcast), the count at which a task reports one of
+#: them, the sum from which a shingle counts as frequent, and the ranges that add them up.
+SKETCH_BITS, REPORT, FREQUENT, RANGES = 24, 3, 8, 64
+#: Lists up to this length are paired out, longer ones chained.
+PAIRED = 64
+#: Up to so many group members (a few tens of MB) are broadcast to the texts; more are joined by key.
+BROADCAST_MEMBERS = 500_000
 #: Postings that a task holds before it sends them, and bytes of a shard.
 FLUSH, POSTING_BYTES, SHARD_BYTES = 1_000_000, 16, 16 << 20
 #: Shingles of a block of a large group, and of the small groups of one task.
 BLOCK_SHINGLES = 2_000_000
 #: The weight of a long list's binary search against a short list's merge.
 MU = 0.0085
-MEMO_WORDS = 500_000
+#: Bytes of a text that are hashed at a time.
+PIECE = 1 << 20
 _P, _Q, _R = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-
-
-class _Words(dict):
-    """Hashes of words met before."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_words = _Words()
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: Each byte as a number from 1, A-Z as a-z.
+VALUE = np.arange(1, 257, dtype=np.uint64) + np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), 32, 0).astype(np.uint64)
+
+
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier and of its inverse modulo 2 ** 64."""
+    inverse = np.uint64(pow(int(_P), -1, 1 << 64))
+    return tuple(np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(PIECE, x, np.uint64))]) for x in (_P, inverse))
+
+
+def _hashed(data: bytes) -> np.ndarray:
+    """Hashes of the words of at most PIECE bytes: a word's polynomial is a difference of sums."""
+    b = np.frombuffer(data, np.uint8)
+    space = np.concatenate([[True], SPACE[b], [True]])
+    change = np.flatnonzero(space[1:] != space[:-1])
+    start, end = change[::2], change[1::2]
+    up, down = _powers()
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(VALUE[b] * up[: len(b)])])
+    h = (sums[end] - sums[start]) * down[start]
+    return (h ^ (h >> np.uint64(29))) * _Q
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    parts, start = [], 0
+    while len(data) - start > PIECE:
+        # The cut is after the last white space; a word longer than a piece has a digest for a hash.
+        end = start + PIECE
+        while end > start and not SPACE[data[end - 1]]:
+            end -= 1
+        if end == start:
+            stop = end = start + PIECE
+            while stop < len(data) and not SPACE[data[stop]]:
+                stop += 1
+            whole = hashlib.blake2b(data[start:stop].lower(), digest_size=8).digest()
+            parts.append(np.frombuffer(whole, "<u8"))
+            start = stop
+            continue
+        parts.append(_hashed(data[start:end]))
+        start = end
+    parts.append(_hashed(data[start:]))
+    return np.concatenate(parts)
 
 
 def shingles(text: str | None) -> np.ndarray:
     """The sorted set of a text. Only A-Z are lower-cased, only ASCII white space parts words."""
-    # Both hold for bytes.lower() and bytes.split().
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
+    w = word_hashes((text or "").encode("utf-8", "surrogatepass"))
+    if not len(w):
         return np.zeros(0, np.uint64)
-    w = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
     n = min(WORDS, len(w))
     h = np.full(len(w) - n + 1, n, np.uint64)
     for k in range(n):
@@ -86,6 +122,22 @@ def shingles(text: str | None) -> np.ndarray:
     return h[np.concatenate([[True], h[1:] != h[:-1]])]
 
 
+def bitmap(own: np.ndarray) -> bytes:
+    """Parities of the set's elements by their low bits, at least as many bits as elements."""
+    bits = 1 << max(6, (len(own) - 1).bit_length())
+    return np.packbits((np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def apart(a: bytes, b: bytes) -> int:
+    """At most the number of elements that two sets do not share; the wider bitmap is folded."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def class_of(own: np.ndarray) -> int:
     """A number that equal sets share."""
     return int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True)
@@ -97,44 +149,53 @@ def least_overlap(m: int, n: int) -> int:
 
 
 def first_pass(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows (id, n, class) of documents, and rows (bucket, seen) of frequent shingles' counters."""
+    """Rows (id, n, class, bits) of documents, and rows (range, bucket, seen) of packed counters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << SKETCH_BITS, np.int32)
         known: set[int] = set()
         for batch in slices(batches):
-            n, classes, parts = [], [], []
-            for text in batch.column(1).to_pylist():
-                own = shingles(text)
-                n.append(len(own))
-                classes.append(class_of(own) if len(own) else None)
-                if len(own) and classes[-1] not in known:  # copies are counted once
-                    known.add(classes[-1])
-                    parts.append(own)
+            sets = [shingles(t) for t in batch.column(1).to_pylist()]
+            classes = [class_of(s) if len(s) else None for s in sets]
+            for own, name in zip(sets, classes, strict=True):
+                if name is not None and name not in known:  # copies are counted once
+                    known.add(name)
+                    np.add.at(seen, (own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
             if len(known) > 1_000_000:
                 known.clear()
-            if parts:
-                seen += np.bincount((np.concatenate(parts) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS).astype(np.int32)
-            rows = len(n)
-            yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(classes, pa.int64()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int64())], names)
+            bits = [bitmap(s) if len(s) else None for s in sets]
+            none = [pa.nulls(len(sets), t) for t in (pa.int32(), pa.binary(), pa.binary())]
+            yield pa.record_batch([batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array(classes, pa.int64()), pa.array(bits, pa.binary()), *none], names)
         often = np.flatnonzero(seen >= REPORT)
-        for s in range(0, len(often), 65_536):
-            part = often[s : s + 65_536]
-            rows = len(part)
-            yield pa.record_batch([pa.nulls(rows, id_type), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()), pa.array(part, pa.int32()), pa.array(seen[part], pa.int64())], names)
-
-    names = ["id", "n", "class", "bucket", "seen"]
+        cuts = np.searchsorted(often, np.arange(RANGES + 1) << (SKETCH_BITS - 6))
+        for k in range(RANGES):
+            own = often[cuts[k] : cuts[k + 1]]
+            if len(own):
+                none = [pa.nulls(1, t) for t in (id_type, pa.int64(), pa.int64(), pa.binary())]
+                packed = [pa.array([x.tobytes()], pa.binary()) for x in (own.astype("<u4"), seen[own].astype("<u4"))]
+                yield pa.record_batch([*none, pa.array([k], pa.int32()), *packed], names)
+
+    names = ["id", "n", "class", "bits", "range", "bucket", "seen"]
     kind = docs.schema[id_col].dataType.simpleString()
     id_type = pa.int32() if kind == "int" else pa.int64()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n long, class long, bucket int, seen long")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n long, class long, bits binary, range int, bucket binary, seen binary")
 
 
 def levels(first: DataFrame) -> np.ndarray:
-    """The frequency class of each counter of the sketch: bits of its count, 0 if not reported."""
+    """The frequency class of each counter of the sketch: bits of its count, 0 if not frequent."""
+    wide = 1 << (SKETCH_BITS - 6)
+
+    def add(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(wide, np.int64)
+        for bucket, seen in zip(group["bucket"], group["seen"], strict=True):
+            total[np.frombuffer(bucket, "<u4") - key[0] * wide] += np.frombuffer(seen, "<u4")
+        level = np.where(total >= FREQUENT, np.ceil(np.log2(np.maximum(total, 1))), 0).astype(np.uint8)
+        return pd.DataFrame([(key[0], level.tobytes())], columns=["range", "level"])
+
     out = np.zeros(1 << SKETCH_BITS, np.uint8)
-    counts = first.where(F.col("bucket").isNotNull()).groupBy("bucket").agg(F.sum("seen").alias("seen"))
-    got = counts.select("bucket", F.ceil(F.log2("seen")).cast("int").alias("level")).toArrow()  # at most one row for each counter
-    out[got.column("bucket").to_numpy()] = got.column("level").to_numpy()
+    added = first.where(F.col("range").isNotNull()).select("range", "bucket", "seen").groupBy("range").applyInPandas(add, "range int, level binary")
+    for row in added.toLocalIterator():  # RANGES rows, 2 ** SKETCH_BITS bytes together
+        out[row["range"] * wide : (row["range"] + 1) * wide] = np.frombuffer(row["level"], np.uint8)
     return out
 
 
@@ -182,8 +243,11 @@ def postings(docs: DataFrame, text_col: str, level: np.ndarray, shards: int) ->
     return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "shard int, hash binary, class binary, size binary")
 
 
-def chains(h: np.ndarray, names: np.ndarray, size: np.ndarray) -> list[tuple[int, int]]:
-    """(class, root) of the groups that a shard's lists make."""
+def list_edges(h: np.ndarray, names: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of classes (k, 2) of a shard's short lists, and chains (k, 2) through its long ones.
+
+    A pair has the smaller set (a tie: either) among its index postings, and sizes that allow a link.
+    """
     by_hash = np.argsort(h, kind="stable")
     sorted_h = h[by_hash]
     same = sorted_h[1:] == sorted_h[:-1]
@@ -191,26 +255,61 @@ def chains(h: np.ndarray, names: np.ndarray, size: np.ndarray) -> list[tuple[int
     h, names, n, index = h[kept], names[kept], size[kept].astype(np.int64) >> 1, (size[kept] & 1).astype(bool)
     order = np.lexsort((names, ~index, n, h))
     h, names, n, index = h[order], names[order], n[order], index[order]
-    # Each hangs on the last one before it, on its list, that may be the smaller set of a link.
+    # Copies of one set post the same; the list has it once.
+    once = np.concatenate([[True], (h[1:] != h[:-1]) | (names[1:] != names[:-1])]) if len(h) else np.zeros(0, bool)
+    h, names, n, index = h[once], names[once], n[once], index[once]
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, int)
+    length = np.diff(np.append(first, len(h)))
+    own = np.repeat(length, length)
+    found = []
+    at = np.flatnonzero(own <= PAIRED)
+    for step in range(1, PAIRED):  # each with the one `step` places before it on its list
+        at = at[at >= step]
+        at = at[h[at] == h[at - step]]
+        if not len(at):
+            break
+        fits = index[at - step] & (8 * n[at] <= 10 * n[at - step])
+        found.append(np.stack([names[at[fits]], names[at[fits] - step]], 1))
+    # On a long list each hangs on the last one before it that may be the smaller set of a link.
     place = np.where(index, np.arange(len(h)), -1)
     last = np.concatenate([[-1], np.maximum.accumulate(place)[:-1]]) if len(h) else place
-    i = np.flatnonzero(last >= 0)
+    i = np.flatnonzero((own > PAIRED) & (last >= 0))
     j = last[i]
-    fits = (h[i] == h[j]) & (names[i] != names[j]) & (8 * n[i] <= 10 * n[j])
-    pairs = np.unique(np.stack([names[i[fits]], names[j[fits]]], 1), axis=0)
+    fits = (h[i] == h[j]) & (8 * n[i] <= 10 * n[j])
+    pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+    pairs, chain = np.sort(pairs, axis=1), np.stack([names[i[fits]], names[j[fits]]], 1)
     forest = Forest()
-    for a, b in pairs.tolist():
+    for a, b in np.unique(chain, axis=0).tolist():
         forest.join(a, b)
-    return [(x, forest.root(x)) for x in list(forest.up) if forest.root(x) != x]
+    rooted = [(x, r) for x in list(forest.up) if (r := forest.root(x)) != x]
+    return np.unique(pairs, axis=0), np.array(rooted, np.int64).reshape(-1, 2)
 
 
 def candidate_edges(posted: DataFrame) -> DataFrame:
+    """Rows (a, b, chain) of classes."""
+
     def run(group: pd.DataFrame) -> pd.DataFrame:
         read = lambda name, kind: np.frombuffer(b"".join(group[name]), kind)
-        found = chains(read("hash", "<u4"), read("class", "<i8"), read("size", "<u4"))
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        pairs, chain = list_edges(read("hash", "<u4"), read("class", "<i8"), read("size", "<u4"))
+        both = np.concatenate([pairs, chain])
+        return pd.DataFrame({"a": both[:, 0], "b": both[:, 1], "chain": np.arange(len(both)) >= len(pairs)})
+
+    return posted.groupBy("shard").applyInPandas(run, "a long, b long, chain boolean")
+
+
+def plausible(edges: DataFrame, classes: DataFrame) -> DataFrame:
+    """The edges (a, b) that bitmaps do not rule out; chains stay, as their ends need not link."""
+    pairs = edges.where("NOT chain").select("a", "b").distinct()
+    side = lambda c: classes.select(F.col("class").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+    known = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 4_096):
+            rows = zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True)
+            keep = pa.array([9 * apart(x, y) <= m + n for m, n, x, y in rows], pa.bool_())
+            yield pa.record_batch(batch.columns[:2], ["a", "b"]).filter(keep)
 
-    return posted.groupBy("shard").applyInPandas(run, "a long, b long")
+    return known.mapInArrow(run, "a long, b long").unionByName(edges.where("chain").select("a", "b"))
 
 
 def heap_merge(lists: list[list[int]], need: int) -> Iterator[tuple[int, int]]:
@@ -303,15 +402,16 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     spark = docs.sparkSession
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     first = cut(first_pass(named, "id", "text"), "sets")
-    rows = first.where(F.col("bucket").isNull()).select("id", "n", "class")
+    rows = first.where(F.col("range").isNull()).select("id", "n", "class", "bits")
     total = rows.agg(F.sum("n")).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = max(4 * partitions, -(-total * POSTING_BYTES // (5 * SHARD_BYTES)))
-    edges = candidate_edges(postings(named, "text", levels(first), shards))
-    groups = components(edges).select(F.col("id").alias("class"), F.col("component").alias("group"))
+    edges = cut(candidate_edges(postings(named, "text", levels(first), shards)), "candidates")
     # A class is known by its least document from here on.
-    classes = rows.where(F.col("class").isNotNull() & F.col("id").isNotNull()).groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"))
-    members = cut(classes.join(groups, "class"), "members")
+    known = rows.where(F.col("class").isNotNull() & F.col("id").isNotNull())
+    classes = known.groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    groups = components(plausible(edges, classes)).select(F.col("id").alias("class"), F.col("component").alias("group"))
+    members = cut(classes.select("class", "id", "n").join(groups, "class"), "members")
     weight = members.groupBy("group").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
     members = members.join(weight, "group")
     tasks = max(partitions, -(-total // BLOCK_SHINGLES))
@@ -325,7 +425,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             yield out.filter(right)
 
     kind = named.schema["id"].dataType.simpleString()
-    texts = members.select("id", "class", "group", "blocks").join(named, "id").select("id", "class", "group", "blocks", "text")
+    wanted = members.select("id", "class", "group", "blocks")
+    wanted = F.broadcast(wanted) if members.count() <= BROADCAST_MEMBERS else wanted
+    texts = named.join(wanted, "id").select("id", "class", "group", "blocks", "text")
     sets = texts.mapInArrow(read, f"id {kind}, class long, group long, blocks int, elements binary")
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     spots = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, block).alias("i"), F.greatest(o, block).alias("j")))
