@@ -37,8 +37,8 @@ FEATURES = 48
 HELD_OUT_MOD, HELD_OUT = 5, 0
 #: From this score on a text counts as toxic.
 LIMIT = 0.5
-#: Windows that run side by side.
-SIDE = 4_096
+#: Windows that run side by side, and words whose features are looked up at a time.
+SIDE, CHUNK = 4_096, 8_192
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
@@ -82,11 +82,17 @@ class Network:
         """Word and character embeddings of words, from their features (the word itself first)."""
         return np.concatenate([self.p["word"][features[:, 0]], self.p["char"][features[:, 1:]].sum(1) / 8], 1)
 
-    def gates(self, words: list[str]) -> np.ndarray:
-        """What a word adds to the gates of both directions."""
-        x = self.inputs(word_features(words))
+    def all_inputs(self, features: np.ndarray) -> np.ndarray:
+        """The same for a whole vocabulary, in pieces: the embeddings of all features are large."""
+        return np.concatenate([self.inputs(features[s : s + CHUNK]) for s in range(0, len(features), CHUNK)])
+
+    def gates_of(self, x: np.ndarray) -> np.ndarray:
+        """What inputs add to the gates of both directions."""
         return np.concatenate([x @ self.p["xf"] + self.p["bf"], x @ self.p["xb"] + self.p["bb"]], 1)
 
+    def gates(self, words: list[str]) -> np.ndarray:
+        return self.gates_of(self.inputs(word_features(words)))
+
     def _run(self, g: np.ndarray, mask: np.ndarray | None, d: str, keep: list | None = None) -> np.ndarray:
         """States (t, b, h) of one direction over gate inputs (t, b, 3h)."""
         t, b, _ = g.shape
@@ -202,7 +208,7 @@ def train(rows: list[tuple[str, int]], seed: int = 11) -> Network | None:
     sizes = np.minimum(WINDOW, base[owner + 1] - starts)
     first = np.cumsum([0, *map(len, spots)])
     # To begin with, a window is as bad as the sum of its words' log-odds.
-    inputs = net.inputs(features)
+    inputs = net.all_inputs(features)
     odds = np.maximum(inputs[:, 0] + inputs[:, WORD_DIM], 0)
     total = np.concatenate([[0], np.cumsum(odds[flat])])
     logits = total[starts + sizes] - total[starts]
@@ -231,8 +237,7 @@ def train(rows: list[tuple[str, int]], seed: int = 11) -> Network | None:
             grads["word"] = (used[:, 0], dx[:, :WORD_DIM])
             grads["char"] = row_gradient(used[:, 1:], dx[:, WORD_DIM:] / 8)
             adam.step(grads)
-        gates = np.concatenate([net.inputs(features) @ net.p[f"x{d}"] + net.p[f"b{d}"] for d in "fb"], 1)
-        logits = net.score_windows(gates, flat, starts, sizes)
+        logits = net.score_windows(net.gates_of(net.all_inputs(features)), flat, starts, sizes)
     return Network(net.p)
 
 
