@@ -19,6 +19,19 @@ WORD = re.compile(r"[^\W\d_]+")
 SLICE = 256
 
 
+#: Rows that Spark hands to Python at a time; texts may be long.
+ARROW_ROWS = 512
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Lower the session's Arrow batch size before texts go through Python."""
+    conf = df.sparkSession.conf
+    now = int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if now <= 0 or now > ARROW_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerferry.llm.common import cut, slices
+from ledgerferry.llm.common import cut, slices, small_batches
 from ledgerferry.llm.components import components
 from ledgerferry.llm.covertree import Forest
 
@@ -178,7 +178,7 @@ def first_pass(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     names = ["id", "n", "class", "bits", "range", "bucket", "seen"]
     kind = docs.schema[id_col].dataType.simpleString()
     id_type = pa.int32() if kind == "int" else pa.int64()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n long, class long, bits binary, range int, bucket binary, seen binary")
+    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n long, class long, bits binary, range int, bucket binary, seen binary")
 
 
 def levels(first: DataFrame) -> np.ndarray:
@@ -240,7 +240,7 @@ def postings(docs: DataFrame, text_col: str, level: np.ndarray, shards: int) ->
         if parts:
             yield from flush()
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "shard int, hash binary, class binary, size binary")
+    return small_batches(docs).select(F.col(text_col).alias("text")).mapInArrow(run, "shard int, hash binary, class binary, size binary")
 
 
 def list_edges(h: np.ndarray, names: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerferry.llm.common import WORD, bucket, slices
+from ledgerferry.llm.common import WORD, bucket, slices, small_batches
 from ledgerferry.llm.wordfeatures import ROWS, Adam, WordTable, padded_features, row_gradient, word_features
 
 #: Bounds of the training sample, and the shape of its sequences.
@@ -194,7 +194,7 @@ def _labelled(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterato
     if model is not None and model.key not in _tables:
         _tables.clear()
         _tables[model.key] = WordTable(model.scores, len(model.labels))
-    for batch in slices(batches, 512):
+    for batch in slices(batches):
         texts = [WORD.findall((t or "").lower()) for t in batch.column(1).to_pylist()]
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         if model is None or not lengths.sum():
@@ -217,7 +217,7 @@ def label_words(docs: DataFrame, model: Model | None, id_col: str = "doc_id", te
             yield pa.record_batch([ids, pa.array(texts, pa.list_(pa.string())), pa.array(labels, pa.list_(pa.string()))], ["id", "words", "labels"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, words array<string>, labels array<string>")
+    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, words array<string>, labels array<string>")
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -241,7 +241,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
             yield pa.record_batch([ids, pa.array(lang, pa.string()), pa.array(score), pa.array(lengths), pa.array(switches)], ["id", "lang_pred", "score", "n_words", "n_switches"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, lang_pred string, score double, n_words long, n_switches long")
+    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, lang_pred string, score double, n_words long, n_switches long")
 
 
 def digest(predicted: DataFrame) -> DataFrame:

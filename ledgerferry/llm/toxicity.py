@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerferry.llm.common import WORD, bounded_sample, bucket, sigmoid, slices
+from ledgerferry.llm.common import WORD, bounded_sample, bucket, sigmoid, slices, small_batches
 from ledgerferry.llm.wordfeatures import ROWS, Adam, WordTable, padded_features, row_gradient, word_features
 
 WINDOW, STRIDE = 32, 16
@@ -38,7 +38,7 @@ HELD_OUT_MOD, HELD_OUT = 5, 0
 #: From this score on a text counts as toxic.
 LIMIT = 0.5
 #: Windows that run side by side, and words whose features are looked up at a time.
-SIDE, CHUNK = 4_096, 8_192
+SIDE, CHUNK = 1_024, 8_192
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
@@ -256,7 +256,7 @@ def _worst(network: Network | None, column: list) -> tuple[np.ndarray, np.ndarra
         return best, count, spot
     if network.key not in _tables:
         _tables.clear()
-        _tables[network.key] = WordTable(network.gates, 6 * HIDDEN, 150_000)
+        _tables[network.key] = WordTable(network.gates, 6 * HIDDEN)
     words = _tables[network.key]
     rows = words.look_up([w for t in texts for w in t])
     base = np.cumsum(lengths) - lengths
@@ -275,12 +275,12 @@ def score(docs: DataFrame, network: Network | None, id_col: str = "doc_id", text
     held = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 512):
+        for batch in slices(batches):
             values = _worst(held.value, batch.column(1).to_pylist())
             yield pa.record_batch([batch.column(0), *map(pa.array, values)], ["id", "score", "n_windows", "worst_word"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, score double, n_windows long, worst_word long")
+    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, score double, n_windows long, worst_word long")
 
 
 def keep_clean(docs: DataFrame, network: Network | None, text_col: str = "text", limit: float = LIMIT) -> DataFrame:
@@ -289,10 +289,10 @@ def keep_clean(docs: DataFrame, network: Network | None, text_col: str = "text",
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 512):
+        for batch in slices(batches):
             yield batch.filter(pa.array(_worst(held.value, batch.column(at).to_pylist())[0] < limit))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)
 
 
 def digest(scored: DataFrame) -> DataFrame:

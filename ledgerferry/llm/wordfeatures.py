@@ -60,13 +60,13 @@ def by_width(words: Iterable[str]) -> list[list[str]]:
 class WordTable:
     """Numbers of words, and a row of values for each: computed once, kept up to `limit` words."""
 
-    def __init__(self, values: Callable[[list[str]], np.ndarray], width: int, limit: int = 300_000):
+    def __init__(self, values: Callable[[list[str]], np.ndarray], width: int, limit: int = 80_000):
         self.values, self.limit, self.width = values, limit, width
         self._clear()
 
     def _clear(self) -> None:
         self.numbers: dict[str, int] = {}
-        self.rows = np.zeros((1024, self.width), np.float32)
+        self.rows = np.zeros((self.limit + 1, self.width), np.float32)
 
     def look_up(self, words: list[str]) -> np.ndarray:
         """Row numbers into `rows`, which hold until the next call."""
@@ -77,8 +77,8 @@ class WordTable:
             numbers, new = self.numbers, set(words)
         if new:
             end = len(numbers) + 1 + len(new)  # row 0 stays zero
-            if end > len(self.rows):
-                self.rows = np.concatenate([self.rows, np.zeros((max(end, 2 * len(self.rows)) - len(self.rows), self.width), np.float32)])
+            if end > len(self.rows):  # one batch of texts has more words than the limit
+                self.rows = np.concatenate([self.rows, np.zeros((end - len(self.rows), self.width), np.float32)])
             for group in by_width(sorted(new)):
                 start = len(numbers) + 1
                 self.rows[start : start + len(group)] = self.values(group)
