@@ -17,7 +17,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored toxic go. The score is set beside each row, so no join is needed."""
-    network = toxicity.train([tuple(r) for r in toxicity.training_rows(docs, table(spark, sf_dir, "labels")).collect()])
+    network = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.keep_clean(docs.select(*COLUMNS), network)
 
 

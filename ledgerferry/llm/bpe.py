@@ -28,10 +28,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerferry.llm.common import slices, small_batches
+from ledgerferry.llm.common import slices, small_batches, tidy
 
 MEMO_SYMBOLS = 64
-MEMO_WORDS = 400_000
+MEMO_WORDS = 150_000
 #: A text is encoded in pieces of about so many characters, cut at white space.
 PIECE = 1 << 16
 END = "</w>"
@@ -276,7 +276,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, ids binary")
+    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), f"id {kind}, ids binary")
 
 
 def decode(encoded: DataFrame, path: str, spaced: bool = False, keep_ids: bool = False) -> DataFrame:
@@ -294,7 +294,7 @@ def decode(encoded: DataFrame, path: str, spaced: bool = False, keep_ids: bool =
             yield pa.record_batch([*columns, batch.column(1)] if keep_ids else columns, ["id", "text", "ids"][: 2 + keep_ids])
 
     kind = encoded.schema["id"].dataType.simpleString()
-    return small_batches(encoded).select("id", "ids").mapInArrow(run, f"id {kind}, text string" + ", ids binary" * keep_ids)
+    return small_batches(encoded).select("id", "ids").mapInArrow(tidy(run), f"id {kind}, text string" + ", ids binary" * keep_ids)
 
 
 def digest(decoded: DataFrame, keep_ids: bool = False) -> DataFrame:

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerferry.llm.common import cut, slices, small_batches
+from ledgerferry.llm.common import cut, slices, small_batches, tidy
 from ledgerferry.llm.components import components
 from ledgerferry.llm.covertree import Forest
 
@@ -178,7 +178,7 @@ def first_pass(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     names = ["id", "n", "class", "bits", "range", "bucket", "seen"]
     kind = docs.schema[id_col].dataType.simpleString()
     id_type = pa.int32() if kind == "int" else pa.int64()
-    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n long, class long, bits binary, range int, bucket binary, seen binary")
+    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), f"id {kind}, n long, class long, bits binary, range int, bucket binary, seen binary")
 
 
 def levels(first: DataFrame) -> np.ndarray:
@@ -240,7 +240,7 @@ def postings(docs: DataFrame, text_col: str, level: np.ndarray, shards: int) ->
         if parts:
             yield from flush()
 
-    return small_batches(docs).select(F.col(text_col).alias("text")).mapInArrow(run, "shard int, hash binary, class binary, size binary")
+    return small_batches(docs).select(F.col(text_col).alias("text")).mapInArrow(tidy(run), "shard int, hash binary, class binary, size binary")
 
 
 def list_edges(h: np.ndarray, names: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -309,7 +309,7 @@ def plausible(edges: DataFrame, classes: DataFrame) -> DataFrame:
             keep = pa.array([9 * apart(x, y) <= m + n for m, n, x, y in rows], pa.bool_())
             yield pa.record_batch(batch.columns[:2], ["a", "b"]).filter(keep)
 
-    return known.mapInArrow(run, "a long, b long").unionByName(edges.where("chain").select("a", "b"))
+    return known.mapInArrow(tidy(run), "a long, b long").unionByName(edges.where("chain").select("a", "b"))
 
 
 def heap_merge(lists: list[list[int]], need: int) -> Iterator[tuple[int, int]]:
@@ -428,7 +428,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     wanted = members.select("id", "class", "group", "blocks")
     wanted = F.broadcast(wanted) if members.count() <= BROADCAST_MEMBERS else wanted
     texts = named.join(wanted, "id").select("id", "class", "group", "blocks", "text")
-    sets = texts.mapInArrow(read, f"id {kind}, class long, group long, blocks int, elements binary")
+    sets = texts.mapInArrow(tidy(read), f"id {kind}, class long, group long, blocks int, elements binary")
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     spots = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, block).alias("i"), F.greatest(o, block).alias("j")))
     dealt = sets.withColumn("block", block).withColumn("spot", F.explode(spots))

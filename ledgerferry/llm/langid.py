@@ -19,6 +19,7 @@ gives no rows; further columns of the input are ignored.
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerferry.llm.common import WORD, bucket, slices, small_batches
+from ledgerferry.llm.common import WORD, bucket, release, slices, small_batches, tidy
 from ledgerferry.llm.wordfeatures import ROWS, Adam, WordTable, padded_features, row_gradient, word_features
 
 #: Bounds of the training sample, and the shape of its sequences.
@@ -57,6 +58,13 @@ def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return named.join(F.broadcast(chosen), ["id", "lang"], "left_semi").select("text", "lang")
 
 
+def fit(docs: DataFrame) -> Model | None:
+    """A model from the training sample, which is small enough for the driver."""
+    model = train([tuple(r) for r in training_rows(docs).collect()])
+    release()
+    return model
+
+
 class Model:
     def __init__(self, labels: list[str], weights: np.ndarray, lexicon: dict[str, int], lexical: np.ndarray, moves: np.ndarray):
         self.labels, self.weights, self.lexicon, self.lexical, self.moves = labels, weights, lexicon, lexical, moves
@@ -72,7 +80,7 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model | None:
     """Fit weights and transitions by stochastic gradients of the log-likelihood."""
     texts: dict[str, list[list[str]]] = {}
     for text, lang in sorted(rows, key=lambda r: (r[1], r[0] or "")):
-        words = WORD.findall((text or "").lower())
+        words = [sys.intern(w) for w in WORD.findall((text or "").lower())]
         if words:
             texts.setdefault(lang, []).append(words)
     labels = sorted(texts)
@@ -217,7 +225,7 @@ def label_words(docs: DataFrame, model: Model | None, id_col: str = "doc_id", te
             yield pa.record_batch([ids, pa.array(texts, pa.list_(pa.string())), pa.array(labels, pa.list_(pa.string()))], ["id", "words", "labels"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, words array<string>, labels array<string>")
+    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), f"id {kind}, words array<string>, labels array<string>")
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -241,7 +249,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
             yield pa.record_batch([ids, pa.array(lang, pa.string()), pa.array(score), pa.array(lengths), pa.array(switches)], ["id", "lang_pred", "score", "n_words", "n_switches"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, lang_pred string, score double, n_words long, n_switches long")
+    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), f"id {kind}, lang_pred string, score double, n_words long, n_switches long")
 
 
 def digest(predicted: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerferry.llm.boosting import Boosted, fit
-from ledgerferry.llm.common import slices, small_batches
+from ledgerferry.llm.common import slices, small_batches, tidy
 
 TRAIN_PAGES = 600
 #: Elements by how they are read (fixed values of the markup language).
@@ -399,7 +399,7 @@ def extract(pages: DataFrame, model: Model, id_col: str = "page_id", url_col: st
 
     kind = pages.schema[id_col].dataType.simpleString()
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"))
-    return small_batches(rows).mapInArrow(run, f"page_id {kind}, url string, blocks array<string>")
+    return small_batches(rows).mapInArrow(tidy(run), f"page_id {kind}, url string, blocks array<string>")
 
 
 def digest(extracted: DataFrame) -> DataFrame:

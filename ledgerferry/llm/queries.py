@@ -16,7 +16,7 @@ TOKENIZER = "word_bpe_49k.json"
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = langid.train([tuple(r) for r in langid.training_rows(docs).collect()])
+    model = langid.fit(docs)
     return langid.digest(langid.predict(docs, model))
 
 
@@ -36,7 +36,7 @@ def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    network = toxicity.train([tuple(r) for r in toxicity.training_rows(docs, table(spark, sf_dir, "labels")).collect()])
+    network = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.digest(toxicity.score(docs, network))
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerferry.llm.common import WORD, bounded_sample, bucket, sigmoid, slices, small_batches
+from ledgerferry.llm.common import WORD, bounded_sample, bucket, release, sigmoid, slices, small_batches, tidy
 from ledgerferry.llm.wordfeatures import ROWS, Adam, WordTable, padded_features, row_gradient, word_features
 
 WINDOW, STRIDE = 32, 16
@@ -39,6 +39,8 @@ HELD_OUT_MOD, HELD_OUT = 5, 0
 LIMIT = 0.5
 #: Windows that run side by side, and words whose features are looked up at a time.
 SIDE, CHUNK = 1_024, 8_192
+#: Training texts whose windows are scored together.
+GROUP = 128
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
@@ -57,6 +59,13 @@ def windows_of(length: int) -> np.ndarray:
     return np.append(np.arange(0, length - WINDOW, STRIDE), length - WINDOW)
 
 
+def fit(docs: DataFrame, labels: DataFrame) -> Network | None:
+    """A network from the training sample, which is small enough for the driver."""
+    network = train([tuple(r) for r in training_rows(docs, labels).collect()])
+    release()
+    return network
+
+
 class Network:
     """Parameters, and both passes over batches of windows."""
 
@@ -189,15 +198,18 @@ def log_odds(features: np.ndarray, docs: list[np.ndarray], labels: np.ndarray) -
 
 def train(rows: list[tuple[str, int]], seed: int = 11) -> Network | None:
     """Fit a network to labelled texts."""
-    texts = [(WORD.findall((t or "").lower()), y) for t, y in sorted(rows, key=lambda r: (r[1], r[0] or ""))]
-    texts = [(w, y) for w, y in texts if w]
-    labels = np.array([y for _, y in texts], np.int64)
-    if len(set(labels.tolist())) < 2:
+    place: dict[str, int] = {}
+    docs, marks = [], []
+    for text, y in sorted(rows, key=lambda r: (r[1], r[0] or "")):
+        own = np.array([place.setdefault(w, len(place)) for w in WORD.findall((text or "").lower())], np.int64)
+        if len(own):
+            docs.append(own)
+            marks.append(y)
+    labels = np.array(marks, np.int64)
+    if len(set(marks)) < 2:
         return None
-    words = sorted({w for t, _ in texts for w in t})
-    place = {w: i for i, w in enumerate(words)}
-    features = padded_features(words, FEATURES)
-    docs = [np.array([place[w] for w in t]) for t, _ in texts]
+    features = padded_features(list(place), FEATURES)
+    del place
     net, rng = Network.fresh(log_odds(features, docs, labels), seed), np.random.default_rng(seed)
     adam = Adam(net.p, 0.01)
     flat = np.concatenate(docs)
@@ -237,10 +249,21 @@ def train(rows: list[tuple[str, int]], seed: int = 11) -> Network | None:
             grads["word"] = (used[:, 0], dx[:, :WORD_DIM])
             grads["char"] = row_gradient(used[:, 1:], dx[:, WORD_DIM:] / 8)
             adam.step(grads)
-        logits = net.score_windows(net.gates_of(net.all_inputs(features)), flat, starts, sizes)
+        logits = np.concatenate([_logits(net, features, docs[s : s + GROUP]) for s in range(0, len(docs), GROUP)])
     return Network(net.p)
 
 
+def _logits(net: Network, features: np.ndarray, docs: list[np.ndarray]) -> np.ndarray:
+    """Logits of all windows of some training texts."""
+    unique, rows = np.unique(np.concatenate(docs), return_inverse=True)
+    lengths = np.array(list(map(len, docs)))
+    spots = [windows_of(n) for n in lengths]
+    owner = np.repeat(np.arange(len(docs)), list(map(len, spots)))
+    starts = np.concatenate(spots)
+    base = np.cumsum(lengths) - lengths
+    return net.score_windows(net.gates_of(net.all_inputs(features[unique])), rows, base[owner] + starts, np.minimum(WINDOW, lengths[owner] - starts))
+
+
 #: Of each worker: the word table of the network it last used.
 _tables: dict[str, WordTable] = {}
 
@@ -280,7 +303,7 @@ def score(docs: DataFrame, network: Network | None, id_col: str = "doc_id", text
             yield pa.record_batch([batch.column(0), *map(pa.array, values)], ["id", "score", "n_windows", "worst_word"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, score double, n_windows long, worst_word long")
+    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), f"id {kind}, score double, n_windows long, worst_word long")
 
 
 def keep_clean(docs: DataFrame, network: Network | None, text_col: str = "text", limit: float = LIMIT) -> DataFrame:
@@ -292,7 +315,7 @@ def keep_clean(docs: DataFrame, network: Network | None, text_col: str = "text",
         for batch in slices(batches):
             yield batch.filter(pa.array(_worst(held.value, batch.column(at).to_pylist())[0] < limit))
 
-    return small_batches(docs).mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(tidy(run), docs.schema)
 
 
 def digest(scored: DataFrame) -> DataFrame:
