@@ -31,6 +31,8 @@ KINDS = ("assign", "access", "hex", "random")
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 LEAST_RATIO = 0.5
+#: Symbols that a row of transitions is backed by.
+BACK_OFF = 20
 #: Bounds of the labelled samples.
 SAMPLE_DOCS = 2_000
 RANDOM_STRINGS = 20_000
@@ -86,17 +88,25 @@ def training_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def train(samples: DataFrame) -> list[float]:
-    """log P_random(b|a) - log P_ordinary(b|a) for every pair of symbols; add-one smoothing."""
+    """log P_random(b|a) - log P_ordinary(b|a) for every pair of symbols.
+
+    Each row of transitions leans on the class's own symbol frequencies (with one of each symbol
+    added) as if BACK_OFF of them had been seen, so symbols a class hardly has stay rare in it.
+    """
     counts = samples.where(F.length("value") > 1).select("label", F.explode(_pairs(F.col("value"))).alias("pair")).groupBy("label", "pair").count()
     n = len(SYMBOLS)
-    seen = [[1.0] * (n * n), [1.0] * (n * n)]
+    seen = [[0] * (n * n), [0] * (n * n)]
     for row in counts.collect():  # at most two tables of n * n
         if 0 <= row["pair"] < n * n:
-            seen[row["label"]][row["pair"]] += row["count"]
-    if any(sum(x) == n * n for x in seen):
+            seen[row["label"]][row["pair"]] = row["count"]
+    if not all(map(sum, seen)):
         return [0.0] * (n * n)  # a class without samples says nothing
-    table = [[math.log(v / sum(x[i - i % n : i - i % n + n])) for i, v in enumerate(x)] for x in seen]
-    return [r - o for r, o in zip(table[1], table[0], strict=True)]
+    logs = []
+    for x in seen:
+        single = [1 + sum(x[b::n]) for b in range(n)]
+        total = [sum(x[a * n : a * n + n]) for a in range(n)]
+        logs.append([math.log((x[i] + BACK_OFF * single[i % n] / sum(single)) / (total[i // n] + BACK_OFF)) for i in range(n * n)])
+    return [r - o for r, o in zip(logs[1], logs[0], strict=True)]
 
 
 def scan(docs: DataFrame, ratios: list[float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
