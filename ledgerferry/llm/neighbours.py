@@ -91,15 +91,15 @@ def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ro
     return out
 
 
-def nearest(df: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest(df: DataFrame, is_query: str, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest rows of every row for which `is_query` holds.
 
     `is_query` is a condition on the column `id`.
     """
     rows = valid_vectors(df, id_col, vector_col)
-    n = df.select(F.count("*"), F.count(F.when(F.expr(is_query.replace("id", f"`{id_col}`")), 1))).first()
-    many = max(1, -(-n[1] // QUERY_BLOCK))
-    parts = max(1, -(-n[0] // CANDIDATE_BLOCK))
+    n = df.select(F.col(id_col).alias("id")).agg(F.count("*").alias("all"), F.count(F.when(F.expr(is_query), 1)).alias("queries")).first()
+    many = max(1, -(-n["queries"] // QUERY_BLOCK))
+    parts = max(1, -(-n["all"] // CANDIDATE_BLOCK))
     place = lambda salt, count: F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(count)).cast("int")
     queries = rows.where(is_query).withColumn("i", place("query", many)).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     candidates = rows.withColumn("j", place("row", parts)).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(many - 1))))

@@ -298,11 +298,14 @@ def compile_template(source: str) -> Callable[[Iterable[dict]], Iterator[Piece]]
     return lambda turns: render({"turns": turns}, False)
 
 
+TURN_END = "</turn>\n"
+
+
 class Reader:
     """Reads turns back from the output of CHAT, fed in pieces of any size."""
 
     def __init__(self):
-        self.turns, self.loss_chars, self.chars, self.held = 0, 0, 0, []
+        self.turns, self.loss_chars, self.chars, self.held = 0, 0, 0, ""
         self.all, self.loss = hashlib.sha256(), hashlib.sha256()
         self.tail = ""  # of masked text: an escape may be cut in two
 
@@ -315,12 +318,12 @@ class Reader:
             plain = unescape(whole[:cut])
             self.loss_chars += len(plain)
             self.loss.update(plain.encode("utf-8", "replace"))
-        start = 0
-        while (end := piece.find("</turn>\n", start)) >= 0:
-            self.held.append(piece[start:end])
-            self._turn("".join(self.held))
-            self.held, start = [], end + len("</turn>\n")
-        self.held.append(piece[start:])
+        whole, start = self.held + piece, 0
+        at = max(0, len(self.held) - len(TURN_END))  # the end of a turn may be cut in two
+        while (end := whole.find(TURN_END, at)) >= 0:
+            self._turn(whole[start:end])
+            start = at = end + len(TURN_END)
+        self.held = whole[start:]
 
     def _turn(self, source: str) -> None:
         if not source.startswith("<turn>"):
