@@ -40,11 +40,15 @@ class MigrationConfig:
         }
     )
     acting_user_id: str = "migration"
-    acting_user_role: str = "IMA"
+    acting_user_role: str = "agent"
+    # Attributes of an organization that the target knows by another name.
+    renames: dict[str, str] = field(default_factory=dict)
     storage_base: str = "s3://documents"
     max_attempts: int = 2
-    # Bounds the number of concurrent deliveries; None leaves it to the session.
+    # Tasks of a delivery, each with a connection of its own. None derives the number from
+    # the batch: at least the session's shuffle partitions, and one for so many records.
     delivery_partitions: int | None = None
+    records_per_task: int = 20_000
 
     def endpoint(self, name: str, suffix: str = "") -> str:
         return self.endpoints[name] + suffix

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerferry.functions.jsontext import lit, lits
 from ledgerferry.functions.scalars import strip
@@ -22,6 +22,11 @@ OUTCOME = "struct<is_success:boolean,response:string,error:string>"
 ENVELOPE_KEYS = ("api_response", "error", "status")
 
 
+def allow_repeated_keys(spark: SparkSession) -> None:
+    """Of a repeated key in JSON text the last value counts, on every path that parses it."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 def json_at(value: str, path: str = "$") -> str:
     """JSON text at a path of a variant: null when absent, the text `null` for JSON null."""
     return f"to_json(variant_get({value}, {lit(path)}, 'variant'))"
@@ -78,6 +83,7 @@ def parse_bodies(rows: DataFrame, body: str = "body") -> DataFrame:
     and `items`, text and status code of a wrapped list of results (empty when there is no
     list, null when it is something else).
     """
+    allow_repeated_keys(rows.sparkSession)
     item = f"named_struct('json', to_json(x), 'code', {json_at('x', '$.statusCode')})"
     items = (
         f"transform(if({is_absent('inner', '$.result')}, {EMPTY_ITEMS},"
@@ -168,6 +174,7 @@ def with_new_id(rows: DataFrame, response: str = "response") -> DataFrame:
 
     The first holder that is filled decides, and must be an object.
     """
+    allow_repeated_keys(rows.sparkSession)
     parsed = once(rows, answer=f"try_parse_json({response})")
     seen = once(parsed, **{f"in_{h}": json_at("answer", f"$.{h}") for h in ID_HOLDERS})
     choices = "".join(

@@ -20,6 +20,16 @@ TOO_DEEP = "'\\u0001'"
 NATIVE_DEPTH = 4
 
 
+def last_wins(tagged: str) -> str:
+    """Entries of a map in which, of a repeated key, the last value counts."""
+    keys = f"map_keys({tagged})"
+    return (
+        f"if(size({keys}) = size(array_distinct({keys})), map_entries({tagged}),"
+        f" filter(map_entries({tagged}), (x, p) ->"
+        f" NOT array_contains(slice({keys}, p + 2, size({tagged})), x.key)))"
+    )
+
+
 def is_number(text: str) -> str:
     return f"({text} RLIKE {lit(NUMBER_PATTERN)})"
 
@@ -54,10 +64,11 @@ def nested_json(value: str, depth: int = NATIVE_DEPTH) -> str:
     Maps and lists share one member list per level, so the expression grows by a constant
     per level.
     """
-    e, m = f"e{depth}", f"m{depth}"
+    e, m, t = f"e{depth}", f"m{depth}", f"t{depth}"
+    entries = f"transform(array(from_json({value}.M, {lit(TAGGED_MAP)})), {t} -> {last_wins(t)})[0]"
     members = (
         f"coalesce("
-        f"transform(map_entries(from_json({value}.M, {lit(TAGGED_MAP)})), {e} ->"
+        f"transform({entries}, {e} ->"
         f" struct(concat({quote(e + '.key')}, ':') AS lead, {e}.value AS value)),"
         f"transform(from_json({value}.L, {lit(TAGGED_LIST)}), {e} ->"
         f" struct('' AS lead, {e} AS value)))"

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from decimal import Decimal
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,6 +19,7 @@ from ledgerferry.functions.tagged import (
     TOO_DEEP,
     attr,
     decode_value,
+    last_wins,
     text_of,
 )
 from ledgerferry.operators.once import once
@@ -30,14 +32,6 @@ BAD_ATTRIBUTE = "bad_attribute"
 TOO_DEEP_REASON = "too_deep"
 
 
-# Of a repeated key the last value counts.
-LAST_WINS = (
-    "if(size(map_keys(tagged)) = size(array_distinct(map_keys(tagged))), map_entries(tagged),"
-    " filter(map_entries(tagged), (e, i) ->"
-    " NOT array_contains(slice(map_keys(tagged), i + 2, size(tagged)), e.key)))"
-)
-
-
 def decode(
     changes: DataFrame,
     image: str = "dynamodb.NewImage",
@@ -64,7 +58,7 @@ def decode(
     attrs = once(
         tagged,
         where="x.attrs IS NULL OR size(x.attrs) > 0",
-        attrs=f"map_from_entries(transform(filter({LAST_WINS}, e -> e.key NOT IN"
+        attrs=f"map_from_entries(transform(filter({last_wins('tagged')}, e -> e.key NOT IN"
         f" ({lits(HIDDEN_ATTRIBUTES)})),"
         f" e -> struct(e.key, {decode_value('e.value')})))",
     )
@@ -134,7 +128,22 @@ def _decode_attribute(value: dict) -> dict:
     plain = _untag(value)
     if tag in ("S", "B", "N"):
         return {"tag": tag, "text": str(content)}
-    return {"tag": tag, "text": json.dumps(plain, ensure_ascii=False, separators=(",", ":"))}
+    return {"tag": tag, "text": _plain_json(plain)}
+
+
+def _plain_json(value: object) -> str:
+    """JSON text with numbers as the native expression writes them."""
+    if isinstance(value, dict):
+        members = (f"{json.dumps(k, ensure_ascii=False)}:{_plain_json(v)}" for k, v in value.items())
+        return "{" + ",".join(members) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(_plain_json, value)) + "]"
+    if isinstance(value, float) and value and not 1e-3 <= abs(value) < 1e7:
+        # Digits and exponent, as in 1.0E22.
+        sign, digits, exponent = Decimal(repr(value)).normalize().as_tuple()
+        first, rest = str(digits[0]), "".join(map(str, digits[1:])) or "0"
+        return f"{'-' * sign}{first}.{rest}E{exponent + len(digits) - 1}"
+    return json.dumps(value, ensure_ascii=False)
 
 
 def _untag(value: dict) -> object:
@@ -156,12 +165,5 @@ def _number(text: str) -> float:
     return float(text)
 
 
-def quarantine(decoded: DataFrame) -> DataFrame:
-    """Records that were rejected, with reason and raw text."""
-    return decoded.filter("reject_reason IS NOT NULL").select(
-        "seq", "event_name", "pk", "sk", "raw", "reject_reason"
-    )
-
-
 def accepted(decoded: DataFrame) -> DataFrame:
     return decoded.filter("reject_reason IS NULL")

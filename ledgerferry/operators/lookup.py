@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerferry.functions.jsontext import lit, lits
 from ledgerferry.functions.scalars import ledger_key, not_found_message
 from ledgerferry.sources.storage import cut
 
 
+# Keys of a lookup that are broadcast, some tens of MB; more are joined by a shuffle.
+MAX_BROADCAST_KEYS = 200_000
+
+
 def latest(rows: DataFrame, *values: str) -> DataFrame:
     """Latest row per (pk, sk), with the wanted columns only.
 
@@ -39,20 +44,24 @@ def lookup(
     """Left join `records` to ledger success rows, one join per wanted column.
 
     `wanted` maps a new column to (entity, key expression); a blank key finds nothing. The
-    ledger is first shrunk to all keys asked for at once, so that only those rows are
-    shuffled, however large it is. No side is broadcast by hint: adaptive execution does it
-    where the measured size allows, and splits the partition of a key that many records
-    share.
+    ledger is first shrunk to all keys asked for at once: by a broadcast of these keys while
+    they are at most MAX_BROADCAST_KEYS, so that only rows asked for are shuffled, however
+    large the ledger is; beyond that the two are joined by key. Records without a key get
+    one that no ledger row has, and spread over all tasks.
     """
     keys = {
         column: f"CASE WHEN {key} <> '' THEN {ledger_key('success', key)} END"
         for column, (_, key) in wanted.items()
     }
+    plain = [f.name for f in records.schema if isinstance(f.dataType, T.AtomicType)]
+    nothing = f"concat('\\u0000', pmod(xxhash64({', '.join(f'`{c}`' for c in plain) or '0'}), 4096))"
     pairs = ", ".join(
         f"named_struct('pk', {lit(entity)}, 'sk', {keys[column]})"
         for column, (entity, _) in wanted.items()
     )
     asked = records.selectExpr(f"inline(array({pairs}))").filter("sk IS NOT NULL").distinct()
+    if asked.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS:
+        asked = F.broadcast(asked)
     entities = sorted({entity for entity, _ in wanted.values()})
     successes = ledger_rows.filter(f"pk IN ({lits(tuple(entities))}) AND result = 'success'")
     found = latest(
@@ -61,7 +70,9 @@ def lookup(
         ),
         value,
     )
-    joined = records.selectExpr("*", *[f"{key} AS key_{column}" for column, key in keys.items()])
+    joined = records.selectExpr(
+        "*", *[f"coalesce({key}, {nothing}) AS key_{column}" for column, key in keys.items()]
+    )
     for column, (entity, _) in wanted.items():
         answers = found.filter(f"pk = {lit(entity)}").selectExpr(
             f"sk AS key_{column}", f"{value} AS {column}"
@@ -91,7 +102,9 @@ def attach_parent(children: DataFrame, parents: DataFrame, on: list[str]) -> Dat
     return children.join(parents, on)
 
 
-def chain_levels(nodes: DataFrame, node: str, leader: str) -> DataFrame:
+def chain_levels(
+    nodes: DataFrame, node: str, leader: str, directory: str | None = None
+) -> DataFrame:
     """Add `level`: how many leaders of the same table stand above a node.
 
     `node` is unique; a leader that is null or not in the table ends the chain. Nodes on
@@ -99,7 +112,7 @@ def chain_levels(nodes: DataFrame, node: str, leader: str) -> DataFrame:
     its target's pointer, so a chain of n nodes takes log2(n) rounds, and finished nodes
     are not joined again. As long as a chain without a cycle is unfinished, every round
     finishes some node; a round that finishes none leaves only cycles. Rounds are cut by
-    written tables, so no plan grows with depth.
+    tables written below `directory`, so no plan grows with depth.
     """
     links = nodes.selectExpr(f"{node} AS node", f"{leader} AS up")
     known = links.selectExpr("node AS up", "true AS is_known")
@@ -108,7 +121,8 @@ def chain_levels(nodes: DataFrame, node: str, leader: str) -> DataFrame:
             "node",
             "if(is_known, up, NULL) AS up",
             "CAST(if(is_known, 1, 0) AS BIGINT) AS level",
-        )
+        ),
+        directory,
     )
     active, before = state.agg(F.count("up")).first()[0], None
     while active and active != before:
@@ -118,7 +132,7 @@ def chain_levels(nodes: DataFrame, node: str, leader: str) -> DataFrame:
             .join(target, "up")
             .selectExpr("node", "next_up AS up", "level + more AS level")
         )
-        state = cut(state.filter("up IS NULL").unionByName(moved))
+        state = cut(state.filter("up IS NULL").unionByName(moved), directory)
         active, before = state.agg(F.count("up")).first()[0], active
     levels = state.selectExpr(f"node AS {node}", "if(up IS NULL, level, NULL) AS level")
     return nodes.join(levels, node, "left")

@@ -15,13 +15,11 @@ from dataclasses import dataclass
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_ROWS_PER_TASK = 5_000_000
-# Cut points per dataset: a piece holds at most its share of *all* rows, whatever the
-# distribution over keys, because the cuts are quantiles of the order column.
-MAX_PIECES = 10_000
-
 PIECE = "__piece"
+TIE = "__tie"
 
 
 @dataclass(frozen=True)
@@ -38,10 +36,12 @@ class Ordered:
         return [self.key, PIECE] if self.pieces else [self.key]
 
     def window(self, *, preceding_only: bool = False, descending: bool = False) -> WindowSpec:
-        order = F.col(self.order).desc() if descending else F.col(self.order).asc()
+        # Nulls come first, and last when descending; equal orders follow the rows' hash.
+        columns = [self.order, TIE] if TIE in self.rows.columns else [self.order]
+        order = [F.col(c).desc() if descending else F.col(c).asc() for c in columns]
         return (
             Window.partitionBy(*self.group)
-            .orderBy(order)
+            .orderBy(*order)
             .rowsBetween(Window.unboundedPreceding, -1 if preceding_only else Window.currentRow)
         )
 
@@ -54,15 +54,19 @@ def ordered(
 ) -> Ordered:
     """Measure the keys (counts combine before the shuffle) and cut the hot ones.
 
-    There are at most rows / max_rows hot keys, which bounds the broadcast below.
+    A piece holds at most its share of *all* rows, whatever the distribution over keys,
+    because the cuts are quantiles of the order column. Null orders sort first, so they
+    belong to a key's first piece.
     """
+    plain = [f.name for f in rows.schema if not isinstance(f.dataType, T.MapType)]
+    rows = rows.withColumn(TIE, F.xxhash64(*[F.col(f"`{c}`") for c in plain]))
     counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     total, largest = counts.agg(F.sum("n"), F.max("n")).first()
     if not total or largest <= max_rows:
         return Ordered(rows, key, order, False)
 
     share = total / max_rows
-    wanted = min(MAX_PIECES, max(2, math.ceil(2 * share)))
+    wanted = max(2, math.ceil(2 * share))
     probabilities = [i / wanted for i in range(1, wanted)]
     cuts = sorted(
         set(
@@ -75,15 +79,14 @@ def ordered(
     hot = counts.filter(F.col("n") > max_rows).select(
         F.col(key).alias("__hot_key"), F.lit(True).alias("__hot")
     )
-    flagged = rows.join(F.broadcast(hot), rows[key].eqNullSafe(hot["__hot_key"]), "left").drop(
-        "__hot_key"
-    )
-    cut = Bucketizer(splits=splits, inputCol="__order", outputCol="__bucket").transform(
-        flagged.withColumn("__order", F.col(order).cast("double"))
+    flagged = rows.join(hot, rows[key].eqNullSafe(hot["__hot_key"]), "left").drop("__hot_key")
+    cut = Bucketizer(
+        splits=splits, inputCol="__order", outputCol="__bucket", handleInvalid="keep"
+    ).transform(flagged.withColumn("__order", F.col(order).cast("double")))
+    piece = F.when(F.col("__order").isNull(), 1).otherwise(F.col("__bucket").cast("int") + 1)
+    pieced = cut.withColumn(PIECE, F.when(F.col("__hot"), piece).otherwise(0)).drop(
+        "__hot", "__order", "__bucket"
     )
-    pieced = cut.withColumn(
-        PIECE, F.when(F.col("__hot"), F.col("__bucket").cast("int") + 1).otherwise(0)
-    ).drop("__hot", "__order", "__bucket")
     return Ordered(pieced, key, order, True)
 
 

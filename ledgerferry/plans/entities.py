@@ -24,10 +24,9 @@ from ledgerferry.functions.tagged import as_json, attr, has, record_json, text_o
 from ledgerferry.operators.lookup import lookup, require
 from ledgerferry.schemas import REQUEST
 
-# Keys no payload carries, the renamed attribute, the header of the
-# endpoints that answer with a canned status.
+# Keys no payload carries, and the header of the endpoints that answer with a
+# canned status.
 KEY_ATTRIBUTES = ("pk", "sk", "id")
-RENAMED_ATTRIBUTES = {"finmoId": "finmo_team_id"}
 CREATED_HEADER = {"x-mock-response-code": "201"}
 
 MISSING_KEY = "missing_key"
@@ -114,7 +113,7 @@ def pass_through(config: MigrationConfig) -> str:
 
 def organization_payload(config: MigrationConfig) -> str:
     body = record_json(
-        KEY_ATTRIBUTES, {"organization_is_active": boolean_json}, RENAMED_ATTRIBUTES
+        KEY_ATTRIBUTES, {"organization_is_active": boolean_json}, config.renames
     )
     return app_request(config, config.entity_ids["organization"], body)
 
@@ -315,4 +314,5 @@ def build_requests(
         f"{payload} AS payload",
         "failure",
         f"{reject} AS reject_reason",
+        "CAST(NULL AS INT) AS n_items",
     ).select(*REQUEST.names)

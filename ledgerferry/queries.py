@@ -16,6 +16,7 @@ from ledgerferry.config import MigrationConfig
 from ledgerferry.functions.jsontext import lit
 from ledgerferry.functions.responses import (
     TOTAL_FIELDS,
+    allow_repeated_keys,
     bulk_results,
     bulk_total,
     parse_bodies,
@@ -31,6 +32,7 @@ from ledgerferry.functions.scalars import (
 )
 from ledgerferry.functions.tagged import attr, has, record_json
 from ledgerferry.operators.decode import accepted, decode
+from ledgerferry.operators.deliver import deliver
 from ledgerferry.operators.lookup import attach_parent, chain_levels, latest, lookup, require
 from ledgerferry.operators.merge import merge_final, merge_running, merged_roles
 from ledgerferry.operators.once import once
@@ -43,14 +45,14 @@ from ledgerferry.plans.children import (
 )
 from ledgerferry.plans.entities import FMS, KEY_ATTRIBUTES, SPECS, build_requests
 from ledgerferry.plans.flow import run_batch
-from ledgerferry.plans.outcomes import ledger_rows, settle
+from ledgerferry.plans.outcomes import ledger_rows, settle, unresolved
 from ledgerferry.sources.changes import stream_json
 from ledgerferry.sources.ledger import LedgerStore, outcome_count
-from ledgerferry.sources.storage import new_scratch_path
+from ledgerferry.sources.storage import cut, new_scratch_path
 from ledgerferry.streaming.driver import start_migration
 
 Query = Callable[[SparkSession, str], DataFrame]
-CONFIG = MigrationConfig()
+CONFIG = MigrationConfig(renames={"teamCode": "team_id"})
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -553,7 +555,21 @@ def order_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
                 m(fee_id=s("o_orderkey"), amount=n("o_totalprice"), description=s("'fee'")),
                 m(fee_id=s("o_custkey"), amount=n("1"), description=s("o_orderstatus")),
             ),
-            participants=f"if(o_orderstatus = 'O', {many(m(participant_id=s('o_custkey')))}, NULL)",
+            participants=f"if(o_orderstatus = 'O',"
+            f" {many(m(participant_id=s('o_custkey'), name=s('o_orderpriority'), role=s('o_orderstatus')))},"
+            " NULL)",
+            sign_submission_status=many(
+                m(submission_id=s("o_orderkey"), status=s("o_orderstatus"), timestamp=s("'t1'"))
+            ),
+            credit_consent=many(
+                m(consent_id=s("o_custkey"), consent_status=s("o_orderstatus"), timestamp=s("'t2'"))
+            ),
+            credit_pull=many(
+                m(pull_id=s("o_orderkey"), credit_score=n("o_custkey"), timestamp=s("'t3'"))
+            ),
+            refrence_mapping=many(
+                m(mapping_id=s("o_orderkey"), source=s("o_orderstatus"), target=s("o_orderpriority"))
+            ),
         ),
     )
 
@@ -595,29 +611,165 @@ def fanout_single(spark: SparkSession, sf_dir: str) -> DataFrame:
                           'credit_pull', 'refrence_mapping']) AS list FROM orders)
     SELECT o_orderkey || '#' || list AS base_key,
            CAST(CASE WHEN list = 'fees' THEN 2
-                     WHEN list = 'participants' AND o_orderstatus = 'O' THEN 1
-                     ELSE 0 END AS BIGINT) AS n_items,
-           CASE WHEN list = 'fees' THEN CAST(o_orderkey AS VARCHAR) END AS fee_id,
-           CASE WHEN list = 'fees' THEN round(o_totalprice, 2) END AS amount,
-           CASE WHEN list = 'participants' AND o_orderstatus = 'O'
-                THEN CAST(o_custkey AS VARCHAR) END AS participant_id
+                     WHEN list = 'participants' AND o_orderstatus <> 'O' THEN 0
+                     ELSE 1 END AS BIGINT) AS n_items,
+           CASE WHEN list = 'participants' AND o_orderstatus <> 'O' THEN NULL
+                WHEN list IN ('participants', 'credit_consent') THEN CAST(o_custkey AS VARCHAR)
+                ELSE CAST(o_orderkey AS VARCHAR) END AS id,
+           CASE WHEN list = 'fees' THEN round(o_totalprice, 2)
+                WHEN list = 'credit_pull' THEN CAST(o_custkey AS DOUBLE) END AS number,
+           CASE list WHEN 'fees' THEN 'fee' WHEN 'sign_submission_status' THEN o_orderstatus || '|t1'
+                WHEN 'credit_consent' THEN o_orderstatus || '|t2' WHEN 'credit_pull' THEN 't3'
+                WHEN 'refrence_mapping' THEN o_orderstatus || '|' || o_orderpriority
+                ELSE CASE WHEN o_orderstatus = 'O' THEN o_orderpriority || '|' || o_orderstatus
+                          ELSE '' END END AS texts
     FROM lists
     """
 )
 def fanout_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    item = (
-        "record_create_list array<struct<fee_id:string,amount:double,description:string,"
-        "participant_id:string>>"
-    )
+    """First element of every list, all its fields."""
+    ids = ("fee_id", "participant_id", "submission_id", "consent_id", "pull_id", "mapping_id")
+    texts = ("description", "name", "role", "status", "consent_status", "source", "timestamp", "target")
+    fields = ",".join(f"{name}:string" for name in (*ids, *texts))
+    first = "get(p.record_create_list, 0)"
     return read_app_request(
         expand(order_deals(spark, sf_dir), bulk_children(CONFIG)),
-        item,
+        f"record_create_list array<struct<amount:double,credit_score:double,{fields}>>",
         "base_key",
         "CAST(size(p.record_create_list) AS BIGINT) AS n_items",
-        "get(p.record_create_list, 0).fee_id AS fee_id",
-        "round(get(p.record_create_list, 0).amount, 2) AS amount",
-        "get(p.record_create_list, 0).participant_id AS participant_id",
+        f"coalesce({', '.join(f'{first}.{name}' for name in ids)}) AS id",
+        f"round(coalesce({first}.amount, {first}.credit_score), 2) AS number",
+        f"concat_ws('|', {', '.join(f'{first}.{name}' for name in texts)}) AS texts",
+    )
+
+
+@query(
+    """
+    SELECT o_orderkey || '#fees' AS base_key,
+           CASE WHEN o_orderkey % 4 <> 3 THEN 'bad_list:fees' END AS reject_reason,
+           CASE WHEN o_orderkey % 4 = 3 THEN 'g' END AS fee_id, o_orderkey % 4 = 3 AS keeps_point
+    FROM orders
+    """
+)
+def child_list_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fees as a text, a map, and a list of texts are set aside; a repeated key's last value counts."""
+    fees = (
+        "CASE o_orderkey % 4 WHEN 0 THEN '{\"S\":\"none\"}' WHEN 1 THEN '{\"M\":{\"a\":{\"S\":\"b\"}}}'"
+        " WHEN 2 THEN '{\"L\":[{\"S\":\"x\"}]}' ELSE '{\"L\":[{\"M\":{\"fee_id\":{\"S\":\"f\"},"
+        "\"amount\":{\"N\":\"2\"},\"fee_id\":{\"S\":\"g\"}}}]}' END"
+    )
+    raw = f"""concat('{{"pk":{{"S":"deal"}},"sk":{{"N":"', o_orderkey, '"}},"fees":', {fees}, '}}')"""
+    deals = records(table(spark, sf_dir, "orders"), "o_orderkey", raw)
+    allow_repeated_keys(spark)
+    sent = expand(deals, bulk_children(CONFIG)).filter("step = 'fees'")
+    body = "get_json_object(payload, '$.api_request')"
+    return sent.selectExpr(
+        "base_key",
+        "reject_reason",
+        f"get_json_object({body}, '$.record_create_list[0].fee_id') AS fee_id",
+        f"coalesce(contains({body}, '\"amount\":2.0,'), false) AS keeps_point",
+    )
+
+
+# --- delivery ---------------------------------------------------------------------------
+
+
+def request_log(rows: DataFrame, pk: str, base_key: str, seq: str, **columns: str) -> DataFrame:
+    """Rows of a table as requests."""
+    given = {
+        "pk": pk,
+        "sk": f"CAST({base_key} AS STRING)",
+        "base_key": f"CAST({base_key} AS STRING)",
+        "seq": f"CAST({seq} AS BIGINT)",
+        "step": pk,
+        "pos": "''",
+        "bulk": "false",
+        "endpoint": "''",
+        "headers": "CAST(map() AS map<string,string>)",
+        "payload": "'{}'",
+        "failure": "CAST(NULL AS STRING)",
+        "reject_reason": "CAST(NULL AS STRING)",
+        "n_items": "CAST(NULL AS INT)",
+        **columns,
+    }
+    return rows.selectExpr(*[f"{v} AS {k}" for k, v in given.items()])
+
+
+def open_remembering() -> Callable[[dict, int], tuple[int, str]]:
+    """Answers with the order number it last saw for the record as the new id."""
+    last: dict[str, int] = {}
+
+    def send(request: dict, attempt: int) -> tuple[int, str]:
+        before = f"after {last.get(request['base_key'], 'none')}"
+        last[request["base_key"]] = request["seq"]
+        return 200, json.dumps({"data": {"application_id": before}})
+
+    return send
+
+
+@query(
+    """
+    SELECT event_id, user_id, lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS previous
+    FROM events
+    """
+)
+def delivery_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of one record go out in their order."""
+    requests = request_log(table(spark, sf_dir, "events"), "'deal_note'", "user_id", "event_id")
+    log = settle(cut(deliver(requests, open_remembering)))
+    return log.selectExpr(
+        "seq AS event_id",
+        "CAST(base_key AS BIGINT) AS user_id",
+        "try_cast(substring(v2_value, 7) AS BIGINT) AS previous",
+    )
+
+
+@query(
+    """
+    SELECT event_id,
+           CASE event_type WHEN 'click' THEN 'no_id' WHEN 'error' THEN 'Invalid response format'
+                WHEN 'purchase' THEN 'no_result' WHEN 'signup' THEN 'Failed to parse api response'
+                ELSE 'connection reset' END AS reason,
+           event_type IN ('signup', 'view') AS in_ledger
+    FROM events
+    UNION ALL
+    SELECT event_id, CASE WHEN half = 0 THEN 'success' ELSE '{"statusCode":500}' END, true
+    FROM (SELECT event_id, unnest([0, 1]) AS half FROM events WHERE event_type = 'purchase')
+    """
+)
+def answers_unusual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks succeed without an id, errors and purchases are bulk answers that cannot be read or
+    lack a result, signups wrap broken text, views end in an exception. A purchase sends three
+    records and gets two results, of which the second one failed."""
+    results = (
+        '[{"statusCode":200,"data":{"application_id":"x"}},{"statusCode":500}]'
     )
+    body = (
+        "CASE event_type WHEN 'click' THEN '{\"status\":\"ok\"}' WHEN 'error' THEN '{\"ok\":1}'"
+        f" WHEN 'purchase' THEN to_json(named_struct('api_response', '{{\"result\":{results}}}'))"
+        " WHEN 'signup' THEN '{\"api_response\":\"{oops\"}' END"
+    )
+    log = request_log(
+        table(spark, sf_dir, "events"),
+        "event_type",
+        "event_id",
+        "event_id",
+        bulk="event_type IN ('error', 'purchase')",
+        n_items="if(event_type = 'purchase', 3, if(event_type = 'error', 1, NULL))",
+        status="if(event_type = 'view', NULL, 200)",
+        body=body,
+        attempts="1",
+        transport_error="if(event_type = 'view', 'connection reset', NULL)",
+    )
+    answered = cut(settle(log))
+    kept = ledger_rows(answered, 0).selectExpr(
+        "seq AS event_id",
+        "if(result = 'success', 'success', coalesce(errorMsg, response)) AS reason",
+        "true AS in_ledger",
+    )
+    # A failed result of a bulk answer is told twice, as message and as response.
+    lost = unresolved(answered).selectExpr("seq AS event_id", "reason", "false AS in_ledger")
+    return kept.unionByName(lost)
 
 
 # --- contact merge ----------------------------------------------------------------------
@@ -809,19 +961,19 @@ def payload_organization(spark: SparkSession, sf_dir: str) -> DataFrame:
             "organization",
             n("c_custkey"),
             organization_is_active=s("if(c_acctbal >= 0, 'YES', 'no')"),
-            finmoId=s("c_mktsegment"),
+            teamCode=s("c_mktsegment"),
             name=s("c_name"),
             nation=n("c_nationkey"),
         ),
     )
     return read_app_request(
         build_requests(decoded, SPECS["organization"], CONFIG),
-        "name string, organization_is_active boolean, finmo_team_id string, nation double",
+        "name string, organization_is_active boolean, team_id string, nation double",
         "sk",
         "get_json_object(payload, '$.entity_id') AS entity_id",
         "p.name",
         "p.organization_is_active AS is_active",
-        "p.finmo_team_id AS team",
+        "p.team_id AS team",
         "p.nation",
     )
 
@@ -1216,7 +1368,7 @@ def migration_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "organization",
                 n("c_custkey"),
                 organization_is_active=s("if(c_acctbal >= 0, 'yes', 'no')"),
-                finmoId=s("c_name"),
+                teamCode=s("c_name"),
             ),
         )
     )
@@ -1269,47 +1421,81 @@ def migration_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcome_count(migrate(spark, "composite", deals.unionByName(lenders)).current())
 
 
-CONTACT_SQL = """
-    WITH live AS (
-        SELECT event_id, user_id, event_type, value, props,
-               CASE event_type WHEN 'purchase' THEN 1 WHEN 'signup' THEN 2 WHEN 'click' THEN 4
-                               WHEN 'view' THEN 5 ELSE 6 END AS ix
-        FROM events WHERE user_id % 11 <> 0)
-    SELECT user_id, max(event_id) AS event_id, count(*) AS n_roles, min(ix)::BIGINT AS best_rank
-    FROM live GROUP BY user_id
+CONTACT_SQL = (
+    MERGE_SQL.replace("CASE WHEN value >= 10 THEN value END", "CASE WHEN value >= 10 THEN props END")
+    + """
+    SELECT r.event_id, r.user_id, r.user_id % 11 <> 0 AS is_success,
+           CASE WHEN r.user_id % 11 <> 0 THEN r.amount
+                WHEN e.value >= 10 THEN e.props END AS first_name,
+           CASE WHEN r.user_id % 11 <> 0 THEN r.n_roles ELSE 1 END AS n_roles
+    FROM running r JOIN events e ON r.event_id = e.event_id
 """
+)
 
 
 @query(CONTACT_SQL)
 def migration_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as contact records: each is merged into what its user's contact is so far."""
-    batch = changes(
-        table(spark, sf_dir, "events"),
-        "event_id",
-        image(
-            "contact",
-            n("event_id"),
-            email_id=s("user_id"),
-            first_name=s("if(value >= 10, props, '')"),
-            role_based_attributes=many(m(role=s(ROLE_OF))),
-        ),
+    """Events as contact records in two batches: what every request says, merged into what its
+    user's contact is so far. The target refuses every 11th user, whose state never moves."""
+    events = table(spark, sf_dir, "events")
+    half = events.agg(F.max("event_id")).first()[0] // 2
+    new_image = image(
+        "contact",
+        n("event_id"),
+        email_id=s("user_id"),
+        first_name=s("if(value >= 10, props, '')"),
+        role_based_attributes=many(m(role=s(ROLE_OF))),
+    )
+    store = LedgerStore(spark, new_scratch_path(spark, "contacts"))
+    logs = [
+        run_batch(changes(events.filter(part), "event_id", new_image), k, store, open_transport, CONFIG).log
+        for k, part in enumerate((f"event_id <= {half}", f"event_id > {half}"))
+    ]
+    said = "first_name string, role_based_attributes array<struct<role:string>>"
+    return read_payload(
+        logs[0].unionByName(logs[1]),
+        said,
+        "seq AS event_id",
+        "CAST(base_key AS BIGINT) AS user_id",
+        "is_success",
+        "p.first_name AS first_name",
+        "CAST(size(p.role_based_attributes) AS BIGINT) AS n_roles",
     )
-    current = migrate(spark, "contacts", batch).current().filter("result = 'success'")
-    roles = "from_json(payload, 'role_based_attributes array<struct<role:string>>')"
-    rank = (
-        "CASE lower(r.role) WHEN 'client' THEN 1 WHEN 'businesspartner' THEN 2"
-        " WHEN 'realtor' THEN 4 WHEN 'appraiser' THEN 5 ELSE 6 END"
+
+
+@query(
+    """
+    WITH org AS (SELECT n_nationkey FROM nation WHERE n_nationkey % 11 <> 0),
+    outcomes AS (
+        SELECT 'organization' AS pk, n_nationkey % 11 <> 0 AS ok FROM nation
+        UNION ALL
+        SELECT 'user_group', s_suppkey % 11 <> 0 AND s_nationkey IN (SELECT n_nationkey FROM org)
+        FROM supplier
+        UNION ALL
+        SELECT CASE event_type WHEN 'click' THEN 'contact_note' WHEN 'view' THEN 'contact_task'
+                    ELSE 'deal_task' END, event_id % 11 <> 0 FROM events)
+    SELECT pk, CASE WHEN ok THEN 'success' ELSE 'failed' END AS result, count(*) AS n
+    FROM outcomes GROUP BY 1, 2
+    """
+)
+def migration_groups_and_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as organizations, suppliers as user groups, events as notes and tasks."""
+    nations = changes(table(spark, sf_dir, "nation"), "n_nationkey", image("organization", n("n_nationkey")))
+    groups = changes(
+        table(spark, sf_dir, "supplier"),
+        "s_suppkey",
+        image("user_group", n("s_suppkey"), organization_id=n("s_nationkey"), user_ids=s("'[1,2]'")),
     )
-    return current.selectExpr(
-        "CAST(v1_value AS BIGINT) AS user_id",
-        "seq AS event_id",
-        f"{roles}.role_based_attributes AS roles",
-    ).selectExpr(
-        "user_id",
+    kind = "CASE event_type WHEN 'click' THEN 'contact_note' WHEN 'view' THEN 'contact_task' ELSE 'deal_task' END"
+    tasks = changes(
+        table(spark, sf_dir, "events"),
         "event_id",
-        "CAST(size(roles) AS BIGINT) AS n_roles",
-        f"CAST(array_min(transform(roles, r -> {rank})) AS BIGINT) AS best_rank",
+        f"to_json(named_struct('pk', {s(kind)}, 'sk', {n('event_id')}, 'note', {s('props')}))",
     )
+    return outcome_count(migrate(spark, "groups", nations.unionByName(groups).unionByName(tasks)).current())
+
+
+STREAM_FILES = 12
 
 
 @query(
@@ -1324,22 +1510,21 @@ def migration_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events, staged as JSON files in order of arrival, replayed by the stream job."""
     path = new_scratch_path(spark, "stream")
-    events = table(spark, sf_dir, "events")
-    third, two_thirds = events.approxQuantile("event_id", [1 / 3, 2 / 3], 0.01)
-    staged = changes(
-        events,
-        "event_id",
-        image("deal_note", s("concat(user_id, '-', event_type)"), value=n("value")),
-    )
-    for arrival in (
-        staged.filter(F.col("seq") <= third),
-        staged.filter((F.col("seq") > third) & (F.col("seq") <= two_thirds)),
-        staged.filter(F.col("seq") > two_thirds),
-    ):
-        arrival.coalesce(1).write.mode("append").json(f"{path}/changes")
+    staged = cut(
+        changes(
+            table(spark, sf_dir, "events"),
+            "event_id",
+            image("deal_note", s("concat(user_id, '-', event_type)"), value=n("value")),
+        )
+    )
+    third, two_thirds = staged.approxQuantile("seq", [1 / 3, 2 / 3], 0.01)
+    # Files are picked up in the order they were written: three arrivals, several files each.
+    for arrival in (f"seq <= {third}", f"seq > {third} AND seq <= {two_thirds}", f"seq > {two_thirds}"):
+        files = staged.filter(arrival).repartition(STREAM_FILES // 3)
+        files.write.mode("append").json(f"{path}/changes")
     store = LedgerStore(spark, f"{path}/ledger")
     job = start_migration(
-        stream_json(spark, f"{path}/changes", max_files_per_trigger=1),
+        stream_json(spark, f"{path}/changes", max_files_per_trigger=STREAM_FILES // 3),
         store,
         open_transport,
         f"{path}/checkpoint",

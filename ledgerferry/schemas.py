@@ -42,8 +42,8 @@ DECODED = T.StructType(
 )
 
 # One unit of work of a batch: a request to deliver, or a record that cannot be
-# delivered and says why (`failure` goes to the ledger, `reject_reason` to quarantine,
-# `blocked` waits for another record of the same batch).
+# delivered and says why (`failure` goes to the ledger, `reject_reason` to quarantine).
+# `n_items` is the number of records a bulk request carries; single ones leave it null.
 REQUEST = T.StructType(
     [
         T.StructField("pk", T.StringType()),
@@ -58,6 +58,7 @@ REQUEST = T.StructType(
         T.StructField("payload", T.StringType()),
         T.StructField("failure", T.StringType()),
         T.StructField("reject_reason", T.StringType()),
+        T.StructField("n_items", T.IntegerType()),
     ]
 )
 

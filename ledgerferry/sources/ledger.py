@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerferry.operators.lookup import latest
 from ledgerferry.schemas import LEDGER
-from ledgerferry.sources.storage import children, exists, mark
+from ledgerferry.sources.storage import children, exists, mark, remove
 
 PARTITIONS = ("pk", "result")
 
@@ -74,12 +74,34 @@ class LedgerStore:
         if deltas:
             self._write("base", max(deltas), latest(self.rows()))
 
+    def open_deltas(self) -> int:
+        """Committed versions that no base holds yet."""
+        base = max(self._versions("base"), default=-1)
+        return sum(d > base for d in self._versions("delta"))
+
+    def clean(self, keep: int) -> None:
+        """Remove what committed batches no longer need, but for the last `keep` of them.
+
+        That is their intermediate tables, and versions below the newest base. Markers stay,
+        so a batch that was committed is known as such for good.
+        """
+        base = max(self._versions("base"), default=-1)
+        for version in sorted(self._versions("delta"))[: -keep or None]:
+            remove(self.spark, self.batch_dir(version))
+            if version <= base:
+                remove(self.spark, self._data("delta", version))
+        for version in self._versions("base"):
+            if version < base:
+                remove(self.spark, self._data("base", version))
+                remove(self.spark, self._marker("base", version))
+
     def _write(self, kind: str, version: int, rows: DataFrame) -> None:
         # Rebalancing evens out file sizes and splits an entity that dominates the batch.
         (
             rows.select(*LEDGER.names)
             .hint("rebalance", *PARTITIONS)
             .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
             .partitionBy(*PARTITIONS)
             .parquet(self._data(kind, version))
         )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -10,13 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of `spark.checkpoint.dir`; a local one only where that is unset."""
+    """The shared folder of `spark.checkpoint.dir`.
+
+    Only where it is unset and Spark runs inside one process, as in tests, a folder of its
+    own takes its place; executors elsewhere would not see it.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured or _local_scratch(spark.sparkContext.applicationId)
+    if configured:
+        return configured
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return _own_scratch(spark.sparkContext.applicationId)
 
 
 @cache
-def _local_scratch(application_id: str) -> str:
+def _own_scratch(application_id: str) -> str:
     return tempfile.mkdtemp(prefix=f"ledgerferry-{application_id}-")
 
 
@@ -24,10 +33,10 @@ def new_scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(rows: DataFrame) -> DataFrame:
-    """Write and read back, so that later plans neither grow nor recompute."""
+def cut(rows: DataFrame, directory: str | None = None) -> DataFrame:
+    """Write below `directory` and read back, so that later plans neither grow nor recompute."""
     spark = rows.sparkSession
-    path = new_scratch_path(spark, "cut")
+    path = f"{directory}/cut-{uuid.uuid4().hex}" if directory else new_scratch_path(spark, "cut")
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
@@ -56,14 +65,21 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(jvm_path))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    jvm_path, fs = _path(spark, path)
+    fs.delete(jvm_path, True)
+
+
 def write_once(rows: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write a table unless a finished one is there already, and read it back.
 
-    The marker is Spark's own `_SUCCESS`, written after all tasks committed. A step with
-    a side effect that was finished before a crash is thus not repeated after it.
+    The marker lies beside the table and is written after all tasks committed. A step with a
+    side effect that was finished before a crash is thus not repeated after it. Overwriting
+    is static whatever the session says: what a crash left behind goes.
     """
     spark = rows.sparkSession
-    if not exists(spark, f"{path}/_SUCCESS"):
-        writer = rows.write.mode("overwrite")
+    if not exists(spark, f"{path}.done"):
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+        mark(spark, f"{path}.done")
     return spark.read.schema(rows.schema).parquet(path)

@@ -11,11 +11,26 @@ from ledgerferry.config import MigrationConfig
 from ledgerferry.operators.deliver import OpenTransport
 from ledgerferry.plans.flow import BatchResult, run_batch
 from ledgerferry.sources.ledger import LedgerStore
+from ledgerferry.sources.storage import write_once
 
-# Batch interval, rows a preview shows, batches between compactions.
+# Batch interval, and rows a preview shows.
 BATCH_INTERVAL = "100 seconds"
 PREVIEW_ROWS = 20
+# Committed batches between compactions, and batches whose intermediates are kept.
 COMPACT_EVERY = 50
+KEEP_BATCHES = 10
+
+
+def write_reports(store: LedgerStore, result: BatchResult) -> None:
+    """What a batch could not process, as tables below `reports`, before anything is removed."""
+    tables = {
+        "quarantine": result.quarantine(),
+        "unrouted": result.unrouted(),
+        "unresolved": result.unresolved(),
+    }
+    for kind, rows in tables.items():
+        if rows is not None:
+            write_once(rows, f"{store.root}/reports/{kind}/batch={result.batch_id}")
 
 
 def preview(changes: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
@@ -32,9 +47,13 @@ def start_migration(
     available_now: bool = False,
     on_batch: Callable[[BatchResult], None] | None = None,
     compact_every: int = COMPACT_EVERY,
+    keep_batches: int = KEEP_BATCHES,
 ) -> StreamingQuery:
     """Start the job. An error in a batch fails the query, so that no batch is lost: a
-    restart with the same checkpoint runs the failed batch again under the same id."""
+    restart with the same checkpoint runs the failed batch again under the same id.
+
+    Quarantined, unrouted and unresolved records are written as tables; then versions are
+    compacted, counted by commits, and intermediates of older batches are removed."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
@@ -42,8 +61,10 @@ def start_migration(
         result = run_batch(batch, batch_id, store, open_transport, config)
         if on_batch:
             on_batch(result)
-        if compact_every and (batch_id + 1) % compact_every == 0:
+        write_reports(store, result)
+        if compact_every and store.open_deltas() >= compact_every:
             store.compact()
+        store.clean(keep_batches)
 
     writer = changes.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": BATCH_INTERVAL}

@@ -3,12 +3,15 @@ import json
 import pytest
 
 from ledgerferry import LedgerStore, preview, run_batch, start_migration
-from ledgerferry.operators.deliver import TokenUnavailable, send_with_retry
+from ledgerferry.config import MigrationConfig
+from ledgerferry.operators.deliver import TokenUnavailable, deliver, send_with_retry
+from ledgerferry.plans.entities import SPECS, build_requests
+from ledgerferry.operators.decode import decode
 from ledgerferry.sources.changes import stream_json
 from tests.support import envelopes, image, make_transport, records
 
 BATCH = [
-    {"pk": "organization", "sk": "101", "organization_is_active": "yes", "finmoId": "t-9", "n": 5},
+    {"pk": "organization", "sk": "101", "organization_is_active": "yes", "teamCode": "t-9", "n": 5},
     {"pk": "organization", "sk": "102"},
     {"pk": "user_group", "sk": "7", "organization_id": "101", "group_name": "N", "user_ids": "[1, 2]"},
     {"pk": "user_group", "sk": "8", "organization_id": "999"},
@@ -52,7 +55,8 @@ def migrated(spark, tmp_path_factory):
     images = [image(**r) for r in [*BATCH, {"pk": "deal_note", "sk": "deep", "v": deep}]]
     batch = envelopes(spark, [*images, '{"broken":', None])
     transport = make_transport(failing={"102"}, flaky={"101"}, no_id={"nid"}, unreadable={"1#fees"})
-    result = run_batch(batch, 0, store, transport)
+    config = MigrationConfig(renames={"teamCode": "team_id"})
+    result = run_batch(batch, 0, store, transport, config)
     rows = {(r["pk"], r["sk"]): r for r in store.current().collect()}
     log = {(r["step"], r["base_key"]): r for r in result.log.collect()}
     return store, result, rows, log, batch, transport
@@ -65,7 +69,7 @@ def body(row):
 def test_organizations(migrated):
     _, _, rows, log, *_ = migrated
     row = rows["organization", "success#101"]
-    assert body(row) == {"organization_is_active": True, "n": 5.0, "finmo_team_id": "t-9"}
+    assert body(row) == {"organization_is_active": True, "n": 5.0, "team_id": "t-9"}
     assert (row["v2_value"], row["v1_value"]) == ("v2-101", "101")
     assert rows["organization", "failed#102"]["errorMsg"] == "HTTP 500"
 
@@ -253,3 +257,98 @@ def test_stream_equals_one_batch_and_survives_a_restart(spark, tmp_path):
 
 def test_preview_shows_rows_and_writes_nothing(spark):
     assert preview(envelopes(spark, ["{}"] * 30)).count() == 20
+
+
+def open_log(path):
+    """A transport that notes what it is sent, in order, in a file per task."""
+
+    def open_transport():
+        import uuid
+
+        target = path / uuid.uuid4().hex
+
+        def send(request, attempt):
+            with target.open("a") as f:
+                f.write(f"{request['base_key']} {request['seq']}\n")
+            return 200, '{"data": {"application_id": "x"}}'
+
+        return send
+
+    return open_transport
+
+
+@pytest.mark.parametrize("partitions", [None, 5])
+def test_changes_of_a_record_are_sent_in_order(spark, tmp_path, partitions):
+    changes = [{"pk": "deal_note", "sk": str(i % 3), "v": i} for i in range(60)]
+    lost = [{"pk": "deal_note", "v": i} for i in range(40)]
+    batch = records(spark, *changes, *lost).repartition(7, "seq")
+    requests = build_requests(decode(batch), SPECS["deal_note"], MigrationConfig())
+    delivered = deliver(requests, open_log(tmp_path), partitions=partitions)
+    tasks = delivered.selectExpr("spark_partition_id() AS task", "reject_reason").distinct().collect()
+    assert len({r["task"] for r in tasks if r["reject_reason"]}) > 2
+    for file in tmp_path.iterdir():
+        file.unlink()
+    delivered.write.format("noop").mode("overwrite").save()
+    sent = {}
+    for file in tmp_path.iterdir():
+        for line in file.read_text().splitlines():
+            key, seq = line.split()
+            sent.setdefault(key, []).append((file.name, int(seq)))
+    assert sorted(sent) == ["0", "1", "2"]
+    for key, calls in sent.items():
+        assert len({name for name, _ in calls}) == 1
+        assert [seq for _, seq in calls] == [i for i in range(60) if str(i % 3) == key]
+
+
+def test_malformed_lists_are_set_aside(spark, tmp_path):
+    store = LedgerStore(spark, str(tmp_path / "ledger"))
+    deals = [
+        {"pk": "deal", "sk": "1", "fees": "none", "participants": {"a": 1}, "credit_pull": [1]},
+        {"pk": "deal", "sk": "2", "documents": [{"deal_id": "2", "docs": "x"}], "fees": None},
+        {"pk": "deal", "sk": "3", "documents": "x"},
+    ]
+    repeated = '{"pk":{"S":"deal"},"sk":{"S":"4"},"fees":{"L":[{"M":{"fee_id":{"S":"f"},"amount":{"N":"2"},"fee_id":{"S":"g"}}}]}}'
+    batch = envelopes(spark, [*[image(**d) for d in deals], repeated])
+    result = run_batch(batch, 0, store, make_transport())
+    reasons = sorted((r["sk"], r["reject_reason"]) for r in result.quarantine().collect())
+    assert reasons == [
+        ("1", "bad_list:credit_pull"), ("1", "bad_list:fees"), ("1", "bad_list:participants"),
+        ("2", "bad_list:docs"), ("3", "bad_list:documents"),
+    ]
+    log = {r["base_key"]: r for r in result.log.collect()}
+    assert '\\"amount\\":2.0' in log["4#fees"]["payload"]
+    assert body(log["4#fees"])["record_create_list"][0]["fee_id"] == "g"
+    assert json.loads(log["2#document#0"]["payload"])["deal_id"] == "2"
+
+
+def test_records_without_a_result_are_unresolved(spark, tmp_path):
+    def open_transport():
+        def send(request, attempt):
+            if not request["bulk"]:
+                return 200, '{"data": {"application_id": "x"}}'
+            result = [{"statusCode": 200, "data": {"application_id": "b"}}]
+            return 200, json.dumps({"api_response": json.dumps({"result": result})})
+
+        return send
+
+    store = LedgerStore(spark, str(tmp_path / "ledger"))
+    fees = [{"fee_id": str(i)} for i in range(3)]
+    result = run_batch(records(spark, {"pk": "deal", "sk": "1", "fees": fees}), 0, store, open_transport)
+    lost = [(r["step"], r["result_pos"]) for r in result.unresolved().collect() if r["reason"] == "no_result"]
+    assert sorted(lost) == [("fees", 1), ("fees", 2)]
+
+
+def test_reports_are_kept_when_intermediates_go(spark, tmp_path):
+    for k in range(4):
+        batch = envelopes(spark, [image(pk="deal_note", sk=str(k)), image(pk="zzz", sk="1"), "{bad"], k * 10)
+        batch.coalesce(1).write.mode("append").json(str(tmp_path / "changes"))
+    store = LedgerStore(spark, str(tmp_path / "ledger"))
+    job = start_migration(
+        stream_json(spark, str(tmp_path / "changes"), 1), store, make_transport(), str(tmp_path / "checkpoint"),
+        available_now=True, compact_every=2, keep_batches=1,
+    )
+    job.awaitTermination()
+    assert len(list((tmp_path / "ledger" / "reports" / "quarantine").glob("batch=*[0-9]"))) == 4
+    assert sum(p.is_dir() for p in (tmp_path / "ledger" / "batches").iterdir()) == 1
+    assert {r["sk"] for r in store.current().collect()} == {f"success#{k}" for k in range(4)}
+    assert store.is_committed(0)

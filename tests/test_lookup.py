@@ -41,3 +41,19 @@ def test_levels_of_long_chains_and_cycles(spark):
     got = {r["id"]: r["level"] for r in chain_levels(nodes, "id", "lead").collect()}
     assert all(got[f"n{i}"] == i for i in range(40))
     assert [got[x] for x in ("c1", "c2", "below", "self", "lost")] == [None, None, None, None, 0]
+
+
+def test_the_ledger_is_not_shuffled_before_it_is_shrunk(spark):
+    """Broadcasts by size are off: the keys asked for are few, so they go to the ledger."""
+    rows = ledger(spark, *[("organization", f"success#{i}", "success", f"v{i}", 0, 0) for i in range(500)])
+    records = spark.createDataFrame([("1",), (None,), (None,)], "org string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = lookup(records, rows, org_v2=("organization", "org"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    semi = plan[plan.index("LeftSemi") :]
+    ledger_side = semi[: semi.index("BroadcastExchange")]
+    assert "Exchange hashpartitioning" not in ledger_side
+    assert sorted((r["org"] or "", r["org_v2"]) for r in found.collect()) == [("", None), ("", None), ("1", "v1")]

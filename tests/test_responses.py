@@ -10,6 +10,7 @@ from ledgerferry.functions.responses import (
     single_outcome,
     with_new_id,
 )
+from ledgerferry.operators.deliver import accepted_id
 
 
 def wrapped(inner):
@@ -85,3 +86,27 @@ def test_bulk_outcomes(spark, body, successes, error, total):
     if successes is None:
         assert row["e"] == error
     assert row["t"] == total
+
+
+REPEATED = [
+    ('{"data": {"application_id": "a", "application_id": "b"}}', True, "b"),
+    ('{"error": 1, "status": "ok", "data": {"application_id": "a"}}', False, None),
+    ('{"status": "down", "status": "ok", "data": {"application_id": "a"}}', True, "a"),
+    ('{"status": null, "data": {"application_id": "a"}}', False, None),
+    ('{"status": ["OK"], "data": {"application_id": "a"}}', False, None),
+    ('{"data": {"application_id": 0, "loan_lender_application_id": true}}', True, "True"),
+    ('{"data": {"application_id": NaN}}', False, None),
+    (wrapped({"statusCode": "200", "error": 1, "result": {"application_id": "A"}}), True, "A"),
+    (wrapped("[1]"), False, None),
+    ("null", False, None),
+]
+
+
+def test_contacts_follow_the_rule_of_the_ledger(spark):
+    cases = [*SINGLE, *REPEATED]
+    bodies = spark.createDataFrame([(i, body) for i, (body, _, _) in enumerate(cases)], "i int, body string")
+    outcomes = parse_bodies(bodies).selectExpr("i", f"{single_outcome()} AS o").selectExpr("i", "o.*")
+    rows = {r["i"]: r for r in with_new_id(outcomes).collect()}
+    for i, (body, ok, v2) in enumerate(cases):
+        assert (rows[i]["is_success"], rows[i]["v2_value"]) == (ok, v2), body
+        assert accepted_id(body) == bool(ok and v2), body
