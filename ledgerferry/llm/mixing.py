@@ -85,13 +85,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", wei
     copies = found.select("row", F.size(F.filter("__cdf", lambda c: c <= u)).alias("repeats")).where("repeats > 0")
     copies = copies.select("row", "repeats", F.explode(F.sequence(F.lit(1), F.col("repeats"))).alias("copy"))
     keyed = copies.select(*[F.col(f"row.`{c}`").alias(c) for c in own], "copy", "repeats", hashed("order", doc_id, F.col("copy")).alias("shuffle_key"))
-    # The key is uniform, so ranges of it are known beforehand: no pass is needed to sample it.
-    return dealt(keyed)
-
-
-def dealt(keyed: DataFrame) -> DataFrame:
-    parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return keyed.repartitionByRange(parts, "shuffle_key").sortWithinPartitions("shuffle_key")
+    # The key is uniform, so equal ranges of it are even: no pass over the rows samples it.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spot = F.floor(uniform(F.col("shuffle_key")) * parts).cast("int")
+    return keyed.repartitionById(parts, spot).sortWithinPartitions("shuffle_key")
 
 
 ORACLE = f"""
