@@ -50,8 +50,8 @@ def test_stages_take_effect(spark, tables):
 
 def test_the_whole_run_equals_its_stages(spark, tables):
     path, _ = tables
-    rows = P.run(spark, path).collect()
-    assert rows and set(P.run(spark, path).columns) >= {"doc_id", "n_tokens", "ids"}
+    out = P.run(spark, path)
+    assert set(out.columns) >= {"doc_id", "n_tokens", "ids"} and out.count() > 60
 
 
 def test_an_empty_corpus(spark, tmp_path):
