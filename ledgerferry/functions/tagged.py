@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from ledgerferry.functions.jsontext import json_object_of, lit, lits, number, quote
-from ledgerferry.schemas import TAGGED_LIST, TAGGED_MAP
+from ledgerferry.schemas import NATIVE_DEPTH
 
 # The texts a top-level string is emptied for, and the number syntax.
 NULL_TEXTS = ("null", "NULL", "")
@@ -15,10 +15,6 @@ NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 BAD_VALUE = "'\\u0000'"
 TOO_DEEP = "'\\u0001'"
 
-# Nesting levels untagged by expressions. Every level is one more lambda for the
-# analyzer to resolve; deeper records take the Arrow path of `decode_deep`.
-NATIVE_DEPTH = 4
-
 
 def last_wins(tagged: str) -> str:
     """Entries of a map in which, of a repeated key, the last value counts."""
@@ -64,13 +60,12 @@ def nested_json(value: str, depth: int = NATIVE_DEPTH) -> str:
     Maps and lists share one member list per level, so the expression grows by a constant
     per level.
     """
-    e, m, t = f"e{depth}", f"m{depth}", f"t{depth}"
-    entries = f"transform(array(from_json({value}.M, {lit(TAGGED_MAP)})), {t} -> {last_wins(t)})[0]"
+    e, m = f"e{depth}", f"m{depth}"
     members = (
         f"coalesce("
-        f"transform({entries}, {e} ->"
+        f"transform({last_wins(f'{value}.M')}, {e} ->"
         f" struct(concat({quote(e + '.key')}, ':') AS lead, {e}.value AS value)),"
-        f"transform(from_json({value}.L, {lit(TAGGED_LIST)}), {e} ->"
+        f"transform({value}.L, {e} ->"
         f" struct('' AS lead, {e} AS value)))"
     )
     inner = f"{m}.value"

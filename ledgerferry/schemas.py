@@ -14,14 +14,25 @@ ENVELOPE = T.StructType(
     ]
 )
 
-# One tagged value as it arrives: exactly one field is filled. Nested maps and
-# lists keep their raw JSON text until they are untagged.
-TAGGED_VALUE = (
-    "struct<S:string,N:string,B:string,BOOL:boolean,`NULL`:boolean,"
-    "SS:array<string>,NS:array<string>,BS:array<string>,M:string,L:string>"
-)
-TAGGED_MAP = f"map<string,{TAGGED_VALUE}>"
-TAGGED_LIST = f"array<{TAGGED_VALUE}>"
+# Nesting levels that one parse of a record takes apart. Every level is one more lambda for
+# the analyzer to resolve; deeper records take the Arrow path of `decode_deep`.
+NATIVE_DEPTH = 4
+
+
+def tagged_value(depth: int) -> str:
+    """One tagged value as it arrives: exactly one field is filled.
+
+    Below `depth` levels maps and lists keep their raw JSON text.
+    """
+    inner = tagged_value(depth - 1) if depth else None
+    nested = f"M:map<string,{inner}>,L:array<{inner}>" if depth else "M:string,L:string"
+    return (
+        "struct<S:string,N:string,B:string,BOOL:boolean,`NULL`:boolean,"
+        f"SS:array<string>,NS:array<string>,BS:array<string>,{nested}>"
+    )
+
+
+TAGGED_MAP = f"map<string,{tagged_value(NATIVE_DEPTH)}>"
 
 # One decoded attribute: the tag it came with and its text. S, N, B and BOOL keep
 # the scalar text; M, L and the sets hold plain (untagged) JSON; NULL has no text.
