@@ -55,7 +55,7 @@ def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     few = named.select("id", "lang").join(F.broadcast(named.groupBy("lang").agg(F.count("*").alias("rows"))), "lang").where(F.abs(spot.cast("double")) <= share)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(spot, "id"))
     chosen = few.distinct().withColumn("k", rank).where(F.col("k") <= TRAIN_DOCS).select("id", "lang")
-    return named.join(F.broadcast(chosen), ["id", "lang"], "left_semi").select("text", "lang")
+    return named.join(F.broadcast(chosen), ["id", "lang"], "left_semi").groupBy("id", "lang").agg(F.min("text").alias("text")).select("text", "lang")
 
 
 def fit(docs: DataFrame) -> Model | None:

@@ -76,7 +76,10 @@ def training_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         .otherwise(F.regexp_replace(F.upper(F.base64(F.unhex(digest))), "[^A-Z0-9]", ""))
         .alias("value"),
     )
-    sample = bounded_sample(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), F.xxhash64("id"), SAMPLE_DOCS)
+    # Ids are chosen from narrow rows; the texts stay where they are.
+    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    chosen = bounded_sample(named.select("id"), F.struct(F.xxhash64("id"), "id"), SAMPLE_DOCS)
+    sample = named.join(F.broadcast(chosen.distinct()), "id", "left_semi")
     # Words as they stand, and two neighbours joined as in identifiers.
     words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"\b[A-Za-z][a-z]{3,18}\b"), F.lit(0))
     joined = F.transform(

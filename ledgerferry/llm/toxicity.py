@@ -49,7 +49,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     known = known.where(F.col("id").isNotNull() & (bucket("id", HELD_OUT_MOD) != HELD_OUT))
     order: Column = F.struct(F.xxhash64("id"), "id", "label")
     chosen = bounded_sample(known.where("label = 1").distinct(), order, TRAIN_TOXIC).unionByName(bounded_sample(known.where("label = 0").distinct(), order, TRAIN_CLEAN))
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").select("text", "label")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text")).select("text", "label")
 
 
 def windows_of(length: int) -> np.ndarray:
