@@ -12,7 +12,8 @@ layouts among menus, notices, adverts, forms, sidebars and comments, at most TRA
 
 Defined results: null or empty html gives an empty text; so does a page without a node inside;
 rows are independent, so repeated rows repeat; an empty table gives no rows; a tag that the end of the
-page cuts short is left out; further columns are ignored.
+page cuts short is left out; a button, select, noscript, template, svg or iframe is left out if it is
+closed, otherwise only its tag is; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,10 +46,14 @@ IMPLIED = {
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "body": ({"head"}, {"html"}),
 }
 CLOSE_P = BLOCKS - {"html", "head", "body", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "legend", "summary"}
-CONTROLS = frozenset("input button label fieldset legend form".split())
+CONTROLS = frozenset("input button select label fieldset legend form".split())
 
+#: The text of script, style, title and textarea is no markup, to the end of the page if it must be. The next
+#: ones are left out only up to their own close tag, before another of the name opens; without one, what follows
+#: is read like all markup, as it is inside math and object.
 MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|select|button|svg|iframe|title|object|math)\b[^>]*+>.*?(?:</\1\s*+>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(script|style|title|textarea)(?=[\s/>])[^>]*+>.*?(?:</\1(?=[\s/>])[^>]*+>|\Z)|<svg(?=[\s/])[^>]*+(?<=/)>"
+    r"|<(noscript|template|select|button|svg|iframe)(?=[\s/>])[^>]*+>(?:[^<]++|<(?!/?\2[\s/>]))*+</\2(?=[\s/>])[^>]*+>"
     r"|<(/?)([a-z][a-z0-9:-]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-z][a-z0-9:-]*+)([^>]*+)>|<[!?][^>]*+>|<[a-z/!?][^>]*+\Z",
     re.S | re.I,
 )
@@ -91,13 +96,13 @@ class Page:
                 if links:
                     linked += start - pos
             pos = m.end()
-            name = m[3] or m[6]
+            name = m[4] or m[7]
             if not name:
-                if m[1] and m[1].lower() in ("button", "select", "textarea"):
+                if (m[1] or m[2] or "").lower() in ("button", "select", "textarea"):
                     self.controls[stack[-1]] += 1
                 continue
             name = name.lower()
-            closing = m[2] or m[5]
+            closing = m[3] or m[6]
             if name not in BLOCKS:
                 if name == "a":
                     links = 0 if closing else 1
@@ -133,7 +138,7 @@ class Page:
                             pop()
             if name in VOID:
                 continue
-            attributes = m[4] or m[7] or ""
+            attributes = m[5] or m[8] or ""
             self.parents.append(stack[-1])
             self.tags.append(name)
             self.at.append(start)

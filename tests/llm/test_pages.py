@@ -51,6 +51,33 @@ def test_rows_of_all_kinds(spark, model):
     assert pages.extract(frame(spark, []), model).collect() == []
 
 
+@pytest.mark.parametrize(
+    ("html", "texts"),
+    [
+        ("<p>one <svg class=i/> two</p><p>three</p>", ["one two", "three"]),
+        ("<p>one <math/> two</p><p>three</p>", ["one two", "three"]),
+        ("<p>one</p><button>go<p>two</p><p>three</p>", ["one", "go", "two", "three"]),
+        ("<p>one</p><button>go<p>two</p><button>ok</button><p>three</p>", ["one", "go", "two", "three"]),
+        ("<p>one</p><select><option>a<p>two</p>", ["one", "a", "two"]),
+        ("<p>one</p><object data=x><p>two</p>", ["one", "two"]),
+        ("<p>one</p><svg><p>two</p><noscript><p>three</p><template><p>four</p><iframe><p>five</p>", ["one", "two", "three", "four", "five"]),
+        ("<p>one <math><mi>x</mi></math> two <object>three</object></p>", ["one x two three"]),
+        ("<p>one</p><title-bar>two</title-bar><button-row>three</button-row><p>four</p>", ["one", "twothree", "four"]),
+        ("<p>one</p><script>a</script x><p>two</p>", ["one", "two"]),
+        ("<p>one<button a='b'>go</button><svg><text>t</text></svg><select><option>a</select><textarea>x<p></textarea></p><p>two<script>y", ["one", "two"]),
+    ],
+)
+def test_only_what_is_closed_is_left_out(html, texts):
+    assert [t for _, t, _ in pages.Page(html).runs] == texts
+
+
+def test_articles_run_past_elements_left_open(spark, model):
+    body = "A sentence of some length, as articles have them. " * 5
+    htmls = [f"<body><nav><a href=/>Home</a></nav><article><h1>Head</h1><p>one {body}</p>{x}<p>two {body}</p></article></body>" for x in ("", "<svg class=i/>", "<math/>", "<object data=a>", "<select>", "<button>", "<svg>")]
+    rows = pages.digest(pages.extract(frame(spark, htmls), model)).collect()
+    assert {r["text"] for r in rows} == {f"Head\none {body.strip()}\ntwo {body.strip()}"}
+
+
 def test_decoding_allows_no_contradiction_and_is_the_best():
     rng = random.Random(4)
     for _ in range(200):
