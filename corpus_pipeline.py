@@ -22,15 +22,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least id stays.
+    """Of each group of linked texts one row stays: the one with the least id.
 
-    Rows that share an id count as copies: the one with the least text stays. Rows without an id
-    are linked with nothing and stay.
+    Links are between texts, so rows that share an id are copies only if their texts are linked. Of
+    linked texts with the least id, and then of rows with one set of shingles, the least stays. Rows
+    without an id or without words are linked with nothing and stay.
     """
-    kept = jaccard.join(docs).where("id = component").select(F.col("id").alias("doc_id")).distinct()
+    kept = jaccard.join(docs).where("id = component AND class = first").select(F.col("id").alias("doc_id"), "class").distinct()
     rest = [c for c in COLUMNS if c != "doc_id"]
-    first = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row"))
-    return first.select("doc_id", "row.*").select(*COLUMNS).unionByName(docs.where("doc_id IS NULL").select(*COLUMNS))
+    rows = docs.select(*COLUMNS)
+    alone = F.col("doc_id").isNull() | F.coalesce("text", F.lit("")).rlike(r"^[\t-\r ]*+\z")
+    first = jaccard.with_class(rows.where(~alone)).groupBy("doc_id", "class").agg(F.min(F.struct(*rest)).alias("row"))
+    return first.join(kept, ["doc_id", "class"], "left_semi").select("doc_id", "row.*").select(*COLUMNS).unionByName(rows.where(alone))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

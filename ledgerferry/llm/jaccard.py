@@ -39,6 +39,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerferry.llm.common import cut, slices, small_batches, tidy
 from ledgerferry.llm.components import components
@@ -398,7 +399,10 @@ def search(sets: list[np.ndarray], sides: list[int] | None = None) -> list[tuple
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_shingles, component, class (equal sets share it)."""
+    """One row per document: id, n_shingles, component, class (equal sets share it), first.
+
+    first is the class that stands for all that are linked: of those with the least id the least.
+    """
     spark = docs.sparkSession
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     first = cut(first_pass(named, "id", "text"), "sets")
@@ -441,20 +445,36 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             sides = None
             if own["large"].iloc[0] and own["i"].iloc[0] != own["j"].iloc[0]:
                 sides = (own["block"] == own["j"]).astype(int).tolist()
-            ids = own["id"].tolist()
-            found += [(ids[x], ids[y]) for x, y in search([np.frombuffer(e, "<u8") for e in own["elements"]], sides)]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    links = dealt.groupBy("task", "large", "i", "j").applyInPandas(run, "a long, b long")
-    joined = components(links).withColumnRenamed("id", "least")
-    named_classes = classes.select("class", F.col("id").alias("least")).join(joined, "least", "left").select("class", F.coalesce("component", "least").alias("component"))
+            at = list(zip(own["id"].tolist(), own["class"].tolist(), strict=True))
+            found += [(*at[x], *at[y]) for x, y in search([np.frombuffer(e, "<u8") for e in own["elements"]], sides)]
+        return pd.DataFrame(found, columns=["a", "a_class", "b", "b_class"], dtype="int64")
+
+    # A node is a class with its least id before it: texts that share an id are told apart.
+    links = dealt.groupBy("task", "large", "i", "j").applyInPandas(run, "a long, a_class long, b long, b_class long")
+    node = lambda c: F.struct(F.col(c).alias("id"), F.col(f"{c}_class").alias("class")).alias(c)
+    joined = components(links.select(node("a"), node("b"))).select("id.class", F.col("component.id").alias("component"), F.col("component.class").alias("first"))
+    named_classes = classes.select("class", F.col("id").alias("least")).join(joined, "class", "left").select("class", F.coalesce("component", "least").alias("component"), F.coalesce("first", "class").alias("first"))
     return rows.join(named_classes, "class", "left").select(
         "id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"),
         "class",
+        "first",
     )
 
 
+def with_class(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows with the class of their text, null where it has no shingles."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = map(shingles, batch.column(at).to_pylist())
+            classes = pa.array([class_of(s) if len(s) else None for s in sets], pa.int64())
+            yield pa.record_batch([*batch.columns, classes], [*batch.schema.names, "class"])
+
+    return small_batches(docs).mapInArrow(tidy(run), StructType([*docs.schema.fields, StructField("class", LongType())]))
+
+
 def digest(joined: DataFrame) -> DataFrame:
     return joined.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))

@@ -85,6 +85,12 @@ def test_repeated_rows_a_join_by_key_and_an_empty_table(spark, monkeypatch):
     assert got(no_documents(spark)) == []
 
 
+def test_texts_that_share_an_id_keep_their_own_components(spark):
+    texts = corpus(11, 120)
+    ids = [i % 40 for i in range(120)]
+    assert got(documents(spark, texts, ids)) == expected(ids, texts)
+
+
 def test_frequent_shingles_go_last_but_lose_nothing(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "REPORT", 1)
     monkeypatch.setattr(jaccard, "FREQUENT", 2)

@@ -66,6 +66,18 @@ def test_rows_that_share_an_id_leave_one(spark, tmp_path):
     assert sorted((r["doc_id"] or 0, r["text"]) for r in rows) == [(0, "x"), (1, "another text of its own kind")]
 
 
+def test_unrelated_texts_that_share_an_id_stay(spark, tmp_path):
+    copied = " ".join(f"w{i}" for i in range(40))
+    texts = [
+        (3, copied), (5, copied + " end"), (5, "a text of its own kind here"), (5, "a text of its own kind here"), (3, "one more that is nobody's copy"),
+        (7, "this one has copies in its id"), (7, "This one has copies in its ID"), (5, None), (5, " \n"), (9, "\u0085"), (None, copied), (None, copied),
+    ]
+    docs = documents(spark, [t for _, t in texts], [i for i, _ in texts])
+    rows = P.drop_near_copies(spark, docs, str(tmp_path)).collect()
+    left = [texts[k] for k in (0, 2, 4, 6, 7, 8, 9, 10, 11)]
+    assert sorted(map(repr, left)) == sorted(repr((r["doc_id"], r["text"])) for r in rows)
+
+
 def test_every_operator_has_a_query():
     assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 11))
     assert set(ORACLES) <= set(QUERIES)
