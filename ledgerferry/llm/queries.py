@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerferry.llm import bpe, covertree, jaccard, langid, mixing, neighbours, pages, secrets, templates, toxicity
+from ledgerferry.llm import bpe, collocations, covertree, jaccard, langid, mixing, neighbours, pages, piecebpe, secrets, templates, toxicity, whitening
 from ledgerferry.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +63,20 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.digest(jaccard.join(table(spark, sf_dir, "documents")))
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(PIECES)
+    encoded = piecebpe.encode(table(spark, sf_dir, "documents"), path)
+    return piecebpe.digest(piecebpe.decode(encoded, path, keep_ids=True))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_language": op1_language,
     "op2_secrets": op2_secrets,
@@ -73,7 +88,10 @@ QUERIES: dict[str, Query] = {
     "op8_html": op8_html,
     "op9_bpe": op9_bpe,
     "op10_jaccard": op10_jaccard,
+    "op11_pieces": op11_pieces,
+    "op12_collocations": op12_collocations,
+    "op13_whitening": op13_whitening,
 }
 
 #: What SQL can express.
-ORACLES: dict[str, str] = {"op6_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op6_mixing": mixing.ORACLE, "op12_collocations": collocations.ORACLE}
