@@ -6,49 +6,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerferry.functions.jsontext import lit, lits
+from ledgerferry.functions.jsontext import lit
 from ledgerferry.functions.scalars import ledger_key, not_found_message
+from ledgerferry.operators.latest import latest
+from ledgerferry.sources.ledger import LedgerView, as_view
 from ledgerferry.sources.storage import cut
 
 
-# Keys of a lookup that are broadcast, some tens of MB; more are joined by a shuffle.
-MAX_BROADCAST_KEYS = 200_000
-
-
-def latest(rows: DataFrame, *values: str) -> DataFrame:
-    """Latest row per (pk, sk), with the wanted columns only.
-
-    An aggregate rather than a window: versions of one key are combined before the
-    shuffle, so a key that makes up a large part of the rows costs no more than others.
-    """
-    wanted = [c for c in (values or rows.columns) if c not in ("pk", "sk")]
-    tie = [c for c in ("payload", "v2_value") if c in wanted]
-    return (
-        rows.groupBy("pk", "sk")
-        .agg(
-            F.expr(
-                f"max_by(struct({', '.join(wanted)}),"
-                f" struct({', '.join(['batch_id', 'seq', *tie])}))"
-            ).alias("row")
-        )
-        .selectExpr("pk", "sk", *[f"row.{c} AS {c}" for c in wanted])
-    )
-
-
 def lookup(
     records: DataFrame,
-    ledger_rows: DataFrame,
+    ledger_rows: DataFrame | LedgerView,
     value: str = "v2_value",
     **wanted: tuple[str, str],
 ) -> DataFrame:
     """Left join `records` to ledger success rows, one join per wanted column.
 
-    `wanted` maps a new column to (entity, key expression); a blank key finds nothing. The
-    ledger is first shrunk to all keys asked for at once: by a broadcast of these keys while
-    they are at most MAX_BROADCAST_KEYS, so that only rows asked for are shuffled, however
-    large the ledger is; beyond that the two are joined by key. Records without a key get
-    one that no ledger row has, and spread over all tasks.
+    `wanted` maps a new column to (entity, key expression); a blank key finds nothing. The keys
+    asked for are written once, so that counting them does not compute the records again; by
+    their number the ledger is read at points, shrunk by a broadcast, or joined by key where
+    its buckets lie. What is shuffled is rows asked for, however large the ledger is. Records
+    without a key get one that no ledger row has, and spread over all tasks.
     """
+    view = as_view(ledger_rows)
     keys = {
         column: f"CASE WHEN {key} <> '' THEN {ledger_key('success', key)} END"
         for column, (_, key) in wanted.items()
@@ -60,16 +39,8 @@ def lookup(
         for column, (entity, _) in wanted.items()
     )
     asked = records.selectExpr(f"inline(array({pairs}))").filter("sk IS NOT NULL").distinct()
-    if asked.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS:
-        asked = F.broadcast(asked)
-    entities = sorted({entity for entity, _ in wanted.values()})
-    successes = ledger_rows.filter(f"pk IN ({lits(tuple(entities))}) AND result = 'success'")
-    found = latest(
-        successes.select("pk", "sk", value, "seq", "batch_id").join(
-            asked, ["pk", "sk"], "left_semi"
-        ),
-        value,
-    )
+    asked = cut(asked, view.scratch)
+    found = latest(view.successes(asked, asked.count(), value), value)
     joined = records.selectExpr(
         "*", *[f"coalesce({key}, {nothing}) AS key_{column}" for column, key in keys.items()]
     )

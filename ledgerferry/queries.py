@@ -33,7 +33,8 @@ from ledgerferry.functions.scalars import (
 from ledgerferry.functions.tagged import attr, has, record_json
 from ledgerferry.operators.decode import accepted, decode
 from ledgerferry.operators.deliver import deliver
-from ledgerferry.operators.lookup import attach_parent, chain_levels, latest, lookup, require
+from ledgerferry.operators.latest import latest
+from ledgerferry.operators.lookup import attach_parent, chain_levels, lookup, require
 from ledgerferry.operators.merge import merge_final, merge_running, merged_roles
 from ledgerferry.operators.once import once
 from ledgerferry.operators.routing import route
@@ -1530,7 +1531,7 @@ def stream_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{path}/checkpoint",
         CONFIG,
         available_now=True,
-        compact_every=2,
+        fanout=2,
     )
     job.awaitTermination()
     return store.current().select("sk", "v2_value", "seq")

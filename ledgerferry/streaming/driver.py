@@ -10,14 +10,13 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerferry.config import MigrationConfig
 from ledgerferry.operators.deliver import OpenTransport
 from ledgerferry.plans.flow import BatchResult, run_batch
-from ledgerferry.sources.ledger import LedgerStore
+from ledgerferry.sources.ledger import FANOUT, LedgerStore
 from ledgerferry.sources.storage import write_once
 
 # Batch interval, and rows a preview shows.
 BATCH_INTERVAL = "100 seconds"
 PREVIEW_ROWS = 20
-# Committed batches between compactions, and batches whose intermediates are kept.
-COMPACT_EVERY = 50
+# Committed batches whose intermediates are kept.
 KEEP_BATCHES = 10
 
 
@@ -46,24 +45,24 @@ def start_migration(
     config: MigrationConfig | None = None,
     available_now: bool = False,
     on_batch: Callable[[BatchResult], None] | None = None,
-    compact_every: int = COMPACT_EVERY,
+    fanout: int = FANOUT,
     keep_batches: int = KEEP_BATCHES,
 ) -> StreamingQuery:
     """Start the job. An error in a batch fails the query, so that no batch is lost: a
     restart with the same checkpoint runs the failed batch again under the same id.
 
-    Quarantined, unrouted and unresolved records are written as tables; then versions are
-    compacted, counted by commits, and intermediates of older batches are removed."""
+    Quarantined, unrouted and unresolved records are written as tables, before `on_batch` sees
+    the result; then runs of the ledger are merged, `fanout` of a level at a time (0: never), and
+    intermediates of older batches are removed."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         result = run_batch(batch, batch_id, store, open_transport, config)
+        write_reports(store, result)
         if on_batch:
             on_batch(result)
-        write_reports(store, result)
-        if compact_every and store.open_deltas() >= compact_every:
-            store.compact()
+        store.merge(fanout)
         store.clean(keep_batches)
 
     writer = changes.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)

@@ -239,7 +239,7 @@ def test_stream_equals_one_batch_and_survives_a_restart(spark, tmp_path):
             open_transport,
             str(tmp_path / "checkpoint"),
             available_now=True,
-            compact_every=2,
+            fanout=2,
         )
 
     store = LedgerStore(spark, str(tmp_path / "stream"))
@@ -345,7 +345,7 @@ def test_reports_are_kept_when_intermediates_go(spark, tmp_path):
     store = LedgerStore(spark, str(tmp_path / "ledger"))
     job = start_migration(
         stream_json(spark, str(tmp_path / "changes"), 1), store, make_transport(), str(tmp_path / "checkpoint"),
-        available_now=True, compact_every=2, keep_batches=1,
+        available_now=True, fanout=2, keep_batches=1,
     )
     job.awaitTermination()
     assert len(list((tmp_path / "ledger" / "reports" / "quarantine").glob("batch=*[0-9]"))) == 4

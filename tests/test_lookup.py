@@ -1,4 +1,6 @@
-from ledgerferry.operators.lookup import chain_levels, latest, lookup, require
+from ledgerferry.operators.latest import latest
+from ledgerferry.operators.lookup import chain_levels, lookup, require
+from ledgerferry.sources import ledger as ledger_store
 
 
 def ledger(spark, *rows):
@@ -43,12 +45,15 @@ def test_levels_of_long_chains_and_cycles(spark):
     assert [got[x] for x in ("c1", "c2", "below", "self", "lost")] == [None, None, None, None, 0]
 
 
-def test_the_ledger_is_not_shuffled_before_it_is_shrunk(spark):
-    """Broadcasts by size are off: the keys asked for are few, so they go to the ledger."""
+def test_the_ledger_is_not_shuffled_before_it_is_shrunk(spark, monkeypatch):
+    """Broadcasts by size are off: the keys asked for go to the ledger, as literals if they are few."""
     rows = ledger(spark, *[("organization", f"success#{i}", "success", f"v{i}", 0, 0) for i in range(500)])
     records = spark.createDataFrame([("1",), (None,), (None,)], "org string")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
+        point = lookup(records, rows, org_v2=("organization", "org"))
+        assert "success#1" in point._jdf.queryExecution().optimizedPlan().toString()
+        monkeypatch.setattr(ledger_store, "POINT_KEYS", 0)
         found = lookup(records, rows, org_v2=("organization", "org"))
         plan = found._jdf.queryExecution().executedPlan().toString()
     finally:
@@ -56,4 +61,5 @@ def test_the_ledger_is_not_shuffled_before_it_is_shrunk(spark):
     semi = plan[plan.index("LeftSemi") :]
     ledger_side = semi[: semi.index("BroadcastExchange")]
     assert "Exchange hashpartitioning" not in ledger_side
-    assert sorted((r["org"] or "", r["org_v2"]) for r in found.collect()) == [("", None), ("", None), ("1", "v1")]
+    for way in (point, found):
+        assert sorted((r["org"] or "", r["org_v2"]) for r in way.collect()) == [("", None), ("", None), ("1", "v1")]
