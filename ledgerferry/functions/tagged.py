@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from ledgerferry.functions.jsontext import json_object_of, lit, lits, number, quote
-from ledgerferry.schemas import NATIVE_DEPTH
+from ledgerferry.schemas import NATIVE_DEPTH, tagged_value
 
 # The texts a top-level string is emptied for, and the number syntax.
 NULL_TEXTS = ("null", "NULL", "")
 NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
-# Marks inside an untagged text; neither can occur in JSON text itself.
+# Marks inside an untagged text; neither can occur in JSON text itself. What lies too deep
+# stands between two of the second kind, as its tag and its raw text.
 BAD_VALUE = "'\\u0000'"
 TOO_DEEP = "'\\u0001'"
 
@@ -69,7 +70,8 @@ def nested_json(value: str, depth: int = NATIVE_DEPTH) -> str:
         f" struct('' AS lead, {e} AS value)))"
     )
     inner = f"{m}.value"
-    deeper = nested_json(inner, depth - 1) if depth > 1 else TOO_DEEP
+    unread = f"concat({TOO_DEEP}, if({inner}.M IS NOT NULL, 'M', 'L'), coalesce({inner}.M, {inner}.L), {TOO_DEEP})"
+    deeper = nested_json(inner, depth - 1) if depth > 1 else unread
     member = (
         f"concat({m}.lead, CASE WHEN {inner}.M IS NOT NULL OR {inner}.L IS NOT NULL"
         f" THEN {deeper} ELSE {scalar_json(inner)} END)"
@@ -79,6 +81,14 @@ def nested_json(value: str, depth: int = NATIVE_DEPTH) -> str:
     return f"concat(if({is_map}, '{{', '['), {body}, if({is_map}, '}}', ']'))"
 
 
+def open_deep(text: str) -> str:
+    """An untagged text with what was too deep read some levels further."""
+    parts = f"split({text}, {TOO_DEEP})"
+    value = f"from_json(concat('{{\"', left(p, 1), '\":', substr(p, 2), '}}'), {lit(tagged_value(NATIVE_DEPTH))})"
+    opened = f"transform(array({value}), t -> {nested_json('t')})[0]"
+    return f"array_join(transform({parts}, (p, i) -> if(i % 2 = 0, p, {opened})), '')"
+
+
 def decode_value(value: str) -> str:
     """Tagged value -> attribute struct<tag, text>; a malformed one has no tag."""
 

@@ -2,28 +2,21 @@
 
 from __future__ import annotations
 
-import json
-import re
-from collections.abc import Iterator
-from decimal import Decimal
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledgerferry.functions.jsontext import lit, lits
 from ledgerferry.functions.tagged import (
     BAD_VALUE,
-    NULL_TEXTS,
-    NUMBER_PATTERN,
     TOO_DEEP,
     attr,
     decode_value,
     last_wins,
+    open_deep,
     text_of,
 )
 from ledgerferry.operators.once import once
-from ledgerferry.schemas import DECODED, TAGGED_MAP
+from ledgerferry.schemas import TAGGED_MAP
+from ledgerferry.sources.storage import cut
 
 HIDDEN_ATTRIBUTES = ("SizeBytes",)
 
@@ -32,6 +25,10 @@ BAD_ATTRIBUTE = "bad_attribute"
 TOO_DEEP_REASON = "too_deep"
 
 
+NESTED = "v.tag IN ('M', 'L', 'NS')"
+DEEP = f"(v.tag IN ('M', 'L') AND contains(v.text, {TOO_DEEP}))"
+
+
 def decode(
     changes: DataFrame,
     image: str = "dynamodb.NewImage",
@@ -43,26 +40,32 @@ def decode(
     Records without one (or with an empty one) are dropped; records that cannot be
     decoded stay, with `reject_reason` and their raw text, so that nothing is lost.
     """
-    nested = "v.tag IN ('M', 'L', 'NS')"
-    reason = (
-        f"CASE WHEN attrs IS NULL THEN '{UNDECODABLE}'"
-        f" WHEN exists(map_values(attrs), v -> v.tag IS NULL"
-        f" OR ({nested} AND contains(v.text, {BAD_VALUE}))) THEN '{BAD_ATTRIBUTE}'"
-        f" WHEN exists(map_values(attrs), v -> {nested} AND contains(v.text, {TOO_DEEP}))"
-        f" THEN '{TOO_DEEP_REASON}' END"
-    )
+    return _judged(_attributes(changes, image, order, event))
+
+
+def _attributes(changes: DataFrame, image: str, order: str, event: str) -> DataFrame:
+    """Images with their attributes; values below NATIVE_DEPTH levels stand in them as they came."""
     images = changes.selectExpr(
         f"CAST({order} AS BIGINT) AS seq", f"{event} AS event_name", f"{image} AS raw"
     ).filter("raw IS NOT NULL")
     tagged = once(images, tagged=f"from_json(raw, {lit(TAGGED_MAP)})")
-    attrs = once(
+    return once(
         tagged,
         where="x.attrs IS NULL OR size(x.attrs) > 0",
         attrs=f"map_from_entries(transform(filter({last_wins('tagged')}, e -> e.key NOT IN"
         f" ({lits(HIDDEN_ATTRIBUTES)})),"
         f" e -> struct(e.key, {decode_value('e.value')})))",
+    ).drop("tagged")
+
+
+def _judged(attributes: DataFrame) -> DataFrame:
+    reason = (
+        f"CASE WHEN attrs IS NULL THEN '{UNDECODABLE}'"
+        f" WHEN exists(map_values(attrs), v -> v.tag IS NULL"
+        f" OR ({NESTED} AND contains(v.text, {BAD_VALUE}))) THEN '{BAD_ATTRIBUTE}'"
+        f" WHEN exists(map_values(attrs), v -> {DEEP}) THEN '{TOO_DEEP_REASON}' END"
     )
-    return once(attrs, reject_reason=reason).selectExpr(
+    return once(attributes, reject_reason=reason).selectExpr(
         "seq",
         "event_name",
         f"{key_text('pk')} AS pk",
@@ -78,91 +81,20 @@ def key_text(name: str) -> str:
     return text_of(attr(name), "S", "N")
 
 
-def decode_deep(rejected: DataFrame) -> DataFrame:
+def decode_deep(rejected: DataFrame, directory: str | None = None) -> DataFrame:
     """Decode the records `decode` set aside as too deep, at any depth.
 
-    Only rows with that reason pass through Python, batch by batch; a value nested
-    beyond what the native expression unrolls is rare, but it is not dropped.
+    The same expressions read them, NATIVE_DEPTH levels a round, so a value's reading does not
+    depend on how deep it lies. Rounds are cut by tables written below `directory`; only rows
+    with that reason take part, and their number does not change the plans.
     """
-    schema = to_arrow_schema(DECODED)
-
-    def decode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [_decode_row(row) for row in batch.to_pylist()]
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
-
     deep = rejected.filter(f"reject_reason = '{TOO_DEEP_REASON}'")
-    return deep.select(*DECODED.names).mapInArrow(decode_batches, DECODED)
-
-
-def _decode_row(row: dict) -> dict:
-    try:
-        image = json.loads(row["raw"])
-        attrs = {
-            name: _decode_attribute(value)
-            for name, value in image.items()
-            if name not in HIDDEN_ATTRIBUTES
-        }
-    except (ValueError, KeyError, TypeError, AttributeError):
-        return {**row, "reject_reason": BAD_ATTRIBUTE}
-
-    def key(name: str) -> str | None:
-        found = attrs.get(name, {"tag": None})
-        return found["text"] if found["tag"] in ("S", "N") else None
-
-    return {
-        "seq": row["seq"],
-        "event_name": row["event_name"],
-        "pk": key("pk"),
-        "sk": key("sk"),
-        "attrs": list(attrs.items()),
-        "raw": None,
-        "reject_reason": None,
-    }
-
-
-def _decode_attribute(value: dict) -> dict:
-    ((tag, content),) = value.items()
-    if tag == "NULL" or (tag == "S" and content in NULL_TEXTS):
-        return {"tag": "NULL", "text": None}
-    plain = _untag(value)
-    if tag in ("S", "B", "N"):
-        return {"tag": tag, "text": str(content)}
-    return {"tag": tag, "text": _plain_json(plain)}
-
-
-def _plain_json(value: object) -> str:
-    """JSON text with numbers as the native expression writes them."""
-    if isinstance(value, dict):
-        members = (f"{json.dumps(k, ensure_ascii=False)}:{_plain_json(v)}" for k, v in value.items())
-        return "{" + ",".join(members) + "}"
-    if isinstance(value, list):
-        return "[" + ",".join(map(_plain_json, value)) + "]"
-    if isinstance(value, float) and value and not 1e-3 <= abs(value) < 1e7:
-        # Digits and exponent, as in 1.0E22.
-        sign, digits, exponent = Decimal(repr(value)).normalize().as_tuple()
-        first, rest = str(digits[0]), "".join(map(str, digits[1:])) or "0"
-        return f"{'-' * sign}{first}.{rest}E{exponent + len(digits) - 1}"
-    return json.dumps(value, ensure_ascii=False)
-
-
-def _untag(value: dict) -> object:
-    ((tag, content),) = value.items()
-    if tag == "M":
-        return {name: _untag(inner) for name, inner in content.items()}
-    if tag == "L":
-        return [_untag(inner) for inner in content]
-    if tag == "NS":
-        return [_number(x) for x in content]
-    if tag == "NULL":
-        return None
-    return _number(content) if tag == "N" else {"S": str, "B": str}.get(tag, lambda x: x)(content)
-
-
-def _number(text: str) -> float:
-    if not re.match(NUMBER_PATTERN, text):
-        raise ValueError(text)
-    return float(text)
+    rows = cut(_attributes(deep, "raw", "seq", "event_name"), directory)
+    unread = f"exists(map_values(attrs), v -> {DEEP})"
+    while not rows.filter(unread).isEmpty():
+        opened = f"transform_values(attrs, (k, v) -> if({DEEP}, named_struct('tag', v.tag, 'text', {open_deep('v.text')}), v))"
+        rows = cut(once(rows.withColumnRenamed("attrs", "was"), attrs=opened.replace("(attrs,", "(was,", 1)).drop("was"), directory)
+    return _judged(rows)
 
 
 def accepted(decoded: DataFrame) -> DataFrame:

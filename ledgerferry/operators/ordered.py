@@ -1,25 +1,27 @@
 """Running aggregates over ordered keyed rows that survive a hot key.
 
-A plain window puts all rows of one key in one task. Here the rows of a key that has
-more than `max_rows` are cut along the order column, each piece runs its own window,
-and what earlier pieces carry over is computed from one row per piece. Keys below the
-bound, which is all of them in ordinary data, take the plain window.
+A plain window puts all rows of one key in one task. Here the rows of keys that have more
+than `max_rows` are range-partitioned by key, order and a tie-break, and cut into pieces of at
+most `max_rows`. Each piece runs its own window; what earlier pieces of a key carry over is
+computed from one row per piece: a prefix scan in two levels. Keys below the bound, which is all
+of them in ordinary data, take the plain window.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerferry.sources.storage import cut
+
 MAX_ROWS_PER_TASK = 5_000_000
 PIECE = "__piece"
 TIE = "__tie"
+SPOT = "__spot"
 
 
 @dataclass(frozen=True)
@@ -54,40 +56,36 @@ def ordered(
 ) -> Ordered:
     """Measure the keys (counts combine before the shuffle) and cut the hot ones.
 
-    A piece holds at most its share of *all* rows, whatever the distribution over keys,
-    because the cuts are quantiles of the order column. Null orders sort first, so they
-    belong to a key's first piece.
+    Ranges are sampled over (key, order, hash of the row, number of the row), so equal and null
+    orders are cut as well, and rows that are alike in all but the last. A range's rows are then
+    numbered, and every `max_rows` of them begin a piece: the bound holds exactly, however uneven
+    the ranges are. Nulls sort first. The pieces are written before they are used, so that no
+    task that runs again cuts otherwise.
     """
     plain = [f.name for f in rows.schema if not isinstance(f.dataType, T.MapType)]
     rows = rows.withColumn(TIE, F.xxhash64(*[F.col(f"`{c}`") for c in plain]))
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total, largest = counts.agg(F.sum("n"), F.max("n")).first()
-    if not total or largest <= max_rows:
+    hot = cut(
+        rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_rows)
+    ).select(F.col(key).alias("__hot_key"), "n")
+    total = hot.agg(F.sum("n")).first()[0]
+    if not total:
         return Ordered(rows, key, order, False)
 
-    share = total / max_rows
-    wanted = max(2, math.ceil(2 * share))
-    probabilities = [i / wanted for i in range(1, wanted)]
-    cuts = sorted(
-        set(
-            rows.select(F.col(order).cast("double").alias("o")).approxQuantile(
-                "o", probabilities, 0.25 / wanted
-            )
-        )
-    )
-    splits = [float("-inf"), *cuts, float("inf")]
-    hot = counts.filter(F.col("n") > max_rows).select(
-        F.col(key).alias("__hot_key"), F.lit(True).alias("__hot")
-    )
-    flagged = rows.join(hot, rows[key].eqNullSafe(hot["__hot_key"]), "left").drop("__hot_key")
-    cut = Bucketizer(
-        splits=splits, inputCol="__order", outputCol="__bucket", handleInvalid="keep"
-    ).transform(flagged.withColumn("__order", F.col(order).cast("double")))
-    piece = F.when(F.col("__order").isNull(), 1).otherwise(F.col("__bucket").cast("int") + 1)
-    pieced = cut.withColumn(PIECE, F.when(F.col("__hot"), piece).otherwise(0)).drop(
-        "__hot", "__order", "__bucket"
+    is_hot = rows[key].eqNullSafe(hot["__hot_key"])
+    ranges = -(-2 * total // max_rows)
+    place = [F.col(key).asc_nulls_first(), F.col(order).asc_nulls_first(), F.col(TIE), F.col(SPOT)]
+    spread = (
+        rows.join(hot, is_hot, "left_semi")
+        .withColumn(SPOT, F.monotonically_increasing_id())
+        .repartitionByRange(ranges, *place)
+        .withColumn("__range", F.spark_partition_id())
     )
-    return Ordered(pieced, key, order, True)
+    number = F.row_number().over(Window.partitionBy("__range").orderBy(*place))
+    # Pieces of a key ascend with its order: first by range, then within it.
+    piece = F.col("__range") * F.lit(1 << 32) + F.floor((number - 1) / max_rows) + 1
+    pieced = cut(cut(spread).withColumn(PIECE, piece.cast("long")).drop("__range", SPOT))
+    calm = rows.join(hot, is_hot, "left_anti").withColumn(PIECE, F.lit(0).cast("long"))
+    return Ordered(calm.unionByName(pieced), key, order, True)
 
 
 def carry(

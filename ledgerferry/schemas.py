@@ -14,8 +14,8 @@ ENVELOPE = T.StructType(
     ]
 )
 
-# Nesting levels that one parse of a record takes apart. Every level is one more lambda for
-# the analyzer to resolve; deeper records take the Arrow path of `decode_deep`.
+# Nesting levels that one parse takes apart. Every level is one more lambda for the analyzer to
+# resolve; deeper values are parsed again, in the rounds of `decode_deep`.
 NATIVE_DEPTH = 4
 
 

@@ -80,27 +80,40 @@ def test_any_depth_is_decoded(spark):
     assert json.loads(deep["attrs"]["v"]["text"]) == value
 
 
-def test_both_decoders_agree(spark):
-    value = {"a": [1, "x", None, {"b": []}, 1e22, 1.5e-7, 12345678, -3e7], "c": True, "n": 0.001}
-    row = accepted(decode(records(spark, {"pk": "deal", "sk": "2", "n": 3, "v": value}))).first()
-    from ledgerferry.operators.decode import _decode_row
-
-    raw = json.dumps({k: tag(v) for k, v in {"pk": "deal", "sk": "2", "n": 3, "v": value}.items()})
-    other = _decode_row({"raw": raw, "seq": 0, "event_name": "INSERT"})
-    assert {k: v["text"] for k, v in other["attrs"]} == {
-        k: v["text"] for k, v in row["attrs"].items()
-    }
-
-
-def test_last_value_of_a_repeated_nested_key_in_both_decoders(spark):
-    from ledgerferry.operators.decode import _decode_row
-
-    raw = '{"pk":{"S":"deal"},"v":{"M":{"a":{"S":"1"},"b":{"L":[{"M":{"x":{"N":"1"},"x":{"N":"2"}}}]},"a":{"S":"3"}}}}'
-    row = accepted(decode(envelopes(spark, [raw]))).first()
-    other = dict(_decode_row({"raw": raw, "seq": 0, "event_name": "INSERT"})["attrs"])
-    for text in (row["attrs"]["v"]["text"], other["v"]["text"]):
-        assert json.loads(text) == {"a": "3", "b": [{"x": 2.0}]}
-        assert text.count('"a"') == text.count('"x"') == 1
+def wrapped(value, depth):
+    for i in range(depth):
+        value = {"M": {"k": value, "s": {"S": "\u0001"}}} if i % 2 else {"L": [value, {"BOOL": True}]}
+    return value
+
+
+def test_a_value_is_read_alike_at_every_depth(spark):
+    """Also odd ones: numbers that are no text, several tags, repeated keys, a bad tag."""
+    leaves = [
+        '{"N":100000.0}', '{"N":"5","S":"q"}', '{"S":5}', '{"BOOL":"true"}', '{"N":"1e22"}', '{"N":"-0.00000015"}', '{"N":"x"}', '{"Q":1}',
+        '{"NS":["1","2.5"]}', '{"SS":["\\u0001"]}', '{"M":{"a":{"S":"1"},"b":{"S":"2"},"a":{"S":"3"}}}', '{"M":{}}', '{"L":[]}', '{"M":5}', '{"NULL":true}', "{}",
+    ]
+    depths, rows = [*range(1, 13), 17, 40], []
+    for depth in depths:
+        rows += [f'{{"pk":{{"S":"deal"}},"v":{json.dumps(wrapped({"S": "@"}, depth)).replace(json.dumps({"S": "@"}), leaf)}}}' for leaf in leaves]
+    decoded = decode(envelopes(spark, rows))
+    deep = decode_deep(decoded).collect()
+    done = {r["seq"]: r for r in [*decoded.filter("NOT reject_reason <=> 'too_deep'").collect(), *deep]}
+    assert len(done) == len(rows) and len(deep) > 100
+    for j, leaf in enumerate(leaves):
+        seen = set()
+        for i, depth in enumerate(depths):
+            row = done[i * len(leaves) + j]
+            text = row["attrs"]["v"]["text"] if row["attrs"] else None
+            start, end = json.dumps(json.loads("1")), None
+            if text is not None:
+                around = [""] * 2
+                for k in range(depth):
+                    around = ["{\"k\":" + around[0], around[1] + ",\"s\":\"\\u0001\"}"] if k % 2 else ["[" + around[0], around[1] + ",true]"]
+                start, end = around
+                assert text.startswith(start) and text.endswith(end), (leaf, depth, text)
+                text = text[len(start) : len(text) - len(end)]
+            seen.add((row["reject_reason"], text))
+        assert len(seen) == 1, (leaf, seen)
 
 
 def test_unknown_and_missing_pk_are_unrouted(spark):
