@@ -5,7 +5,9 @@ import sys
 from pyspark import cloudpickle
 
 from ledgerferry.config import MigrationConfig
+from ledgerferry.plans.entities import EntitySpec, ForeignKey
 from ledgerferry.plans.flow import BatchResult, run_batch
+from ledgerferry.plans.registry import Children, EntityRegistry
 from ledgerferry.sources.ledger import LedgerStore
 from ledgerferry.streaming.driver import preview, start_migration
 
@@ -15,6 +17,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 __all__ = [
     "BatchResult",
+    "Children",
+    "EntityRegistry",
+    "EntitySpec",
+    "ForeignKey",
     "LedgerStore",
     "MigrationConfig",
     "preview",

@@ -76,10 +76,11 @@ def attach_parent(children: DataFrame, parents: DataFrame, on: list[str]) -> Dat
 def chain_levels(
     nodes: DataFrame, node: str, leader: str, directory: str | None = None
 ) -> DataFrame:
-    """Add `level`: how many leaders of the same table stand above a node.
+    """Add `level`, how many leaders of the same table stand above a node, and the topmost
+    one, `root` (the node itself at level 0).
 
     `node` is unique; a leader that is null or not in the table ends the chain. Nodes on
-    or below a cycle get a null level. Pointer doubling: a round replaces every pointer by
+    or below a cycle get neither. Pointer doubling: a round replaces every pointer by
     its target's pointer, so a chain of n nodes takes log2(n) rounds, and finished nodes
     are not joined again. As long as a chain without a cycle is unfinished, every round
     finishes some node; a round that finishes none leaves only cycles. Rounds are cut by
@@ -92,18 +93,20 @@ def chain_levels(
             "node",
             "if(is_known, up, NULL) AS up",
             "CAST(if(is_known, 1, 0) AS BIGINT) AS level",
+            "if(is_known, NULL, node) AS root",
         ),
         directory,
     )
     active, before = state.agg(F.count("up")).first()[0], None
     while active and active != before:
-        target = state.selectExpr("node AS up", "up AS next_up", "level AS more")
+        target = state.selectExpr("node AS up", "up AS next_up", "level AS more", "root")
         moved = (
             state.filter("up IS NOT NULL")
+            .drop("root")
             .join(target, "up")
-            .selectExpr("node", "next_up AS up", "level + more AS level")
+            .selectExpr("node", "next_up AS up", "level + more AS level", "root")
         )
         state = cut(state.filter("up IS NULL").unionByName(moved), directory)
         active, before = state.agg(F.count("up")).first()[0], active
-    levels = state.selectExpr(f"node AS {node}", "if(up IS NULL, level, NULL) AS level")
+    levels = state.selectExpr(f"node AS {node}", "if(up IS NULL, level, NULL) AS level", "root")
     return nodes.join(levels, node, "left")

@@ -23,6 +23,7 @@ from ledgerferry.functions.scalars import (
 from ledgerferry.functions.tagged import as_json, attr, has, record_json, text_of, truthy
 from ledgerferry.operators.lookup import lookup, require
 from ledgerferry.schemas import REQUEST
+from ledgerferry.sources.ledger import LedgerView
 
 # Keys no payload carries, and the header of the endpoints that answer with a
 # canned status.
@@ -33,22 +34,37 @@ MISSING_KEY = "missing_key"
 NO_TEXT = "CAST(NULL AS STRING)"
 
 
+@dataclass(frozen=True)
+class ForeignKey:
+    """An old id in a record: the new one, found in the ledger, becomes `column`.
+
+    A record that meets `required` and whose id is not found fails.
+    """
+
+    entity: str
+    key: str
+    column: str
+    required: str = "true"
+
+
 @dataclass(frozen=True)
 class EntitySpec:
     """How records of one entity become requests.
 
-    `payload(config)` is the request body; `prepare(records, ledger_rows)` adds looked-up
-    columns and may set `failure`; `rejects` maps reasons to conditions. Bodies, keys and
-    conditions are SQL expressions over decoded records.
+    `payload(config)` is the request body; `keys` are looked up before, and decide when the
+    entity's records can go; `rejects` maps reasons to conditions. Bodies, keys and conditions
+    are SQL expressions over decoded records. Of a `merged` entity, records with one base key
+    are merged with what was accepted before, and go one after the other.
     """
 
     endpoint: str
     payload: Callable[[MigrationConfig], str]
     suffix: str = ""
     headers: dict[str, str] = field(default_factory=dict)
-    prepare: Callable[[DataFrame, DataFrame], DataFrame] | None = None
+    keys: tuple[ForeignKey, ...] = ()
     rejects: dict[str, str] = field(default_factory=dict)
     base_key: str = "sk"
+    merged: bool = False
 
 
 def app_request(config: MigrationConfig, entity_id: str, body: str) -> str:
@@ -201,37 +217,22 @@ def fms_payload(config: MigrationConfig) -> str:
     return json_object({"deal_id": as_json(attr("deal_id")), "fms": as_json(attr("fms"))})
 
 
-ORGANIZATION = ("organization", id_text("organization_id"))
-USER_GROUP = ("user_group", id_text("user_group_id"))
-TEAM_LEAD = ("user", text_of(attr("team_lead_user_id"), "S"))
-
-
-def find_organization(records: DataFrame, ledger_rows: DataFrame) -> DataFrame:
-    found = lookup(records, ledger_rows, organization_v2=ORGANIZATION)
-    return require(found, *ORGANIZATION, "organization_v2")
+ORGANIZATION = ForeignKey("organization", id_text("organization_id"), "organization_v2")
+USER_GROUP = ForeignKey("user_group", id_text("user_group_id"), "user_group_v2", required="false")
+# A team lead is required only where one is given as text.
+LEAD_ID = text_of(attr("team_lead_user_id"), "S")
+TEAM_LEAD = ForeignKey("user", LEAD_ID, "team_lead_v2", required=f"{LEAD_ID} IS NOT NULL")
 
 
-def find_account_parents(records: DataFrame, ledger_rows: DataFrame) -> DataFrame:
-    """Organization is required, the user group is not."""
-    found = lookup(
-        records, ledger_rows, organization_v2=ORGANIZATION, user_group_v2=USER_GROUP
-    )
-    return require(found, *ORGANIZATION, "organization_v2")
-
-
-def find_user_parents(records: DataFrame, ledger_rows: DataFrame) -> DataFrame:
-    found = lookup(records, ledger_rows, organization_v2=ORGANIZATION, team_lead_v2=TEAM_LEAD)
-    return require_team_lead(require(found, *ORGANIZATION, "organization_v2"))
-
-
-def find_team_lead(records: DataFrame, ledger_rows: DataFrame) -> DataFrame:
-    """For users whose organization is resolved already."""
-    return require_team_lead(lookup(records, ledger_rows, team_lead_v2=TEAM_LEAD))
-
-
-def require_team_lead(found: DataFrame) -> DataFrame:
-    """A team lead is required only where one is given as text."""
-    return require(found, *TEAM_LEAD, "team_lead_v2", where=f"{TEAM_LEAD[1]} IS NOT NULL")
+def resolve(
+    records: DataFrame, keys: tuple[ForeignKey, ...], ledger_rows: DataFrame | LedgerView
+) -> DataFrame:
+    """Records with the new ids of their keys, and `failure` where a required one is missing;
+    of several the first counts."""
+    found = lookup(records, ledger_rows, **{k.column: (k.entity, k.key) for k in keys})
+    for k in keys:
+        found = require(found, k.entity, k.key, k.column, where=k.required)
+    return found
 
 
 SPECS: dict[str, EntitySpec] = {
@@ -243,17 +244,17 @@ SPECS: dict[str, EntitySpec] = {
             f" AND {attr('organization_is_active')}.tag <> 'BOOL')"
         },
     ),
-    "user_group": EntitySpec("org", user_group_payload, prepare=find_organization),
+    "user_group": EntitySpec("org", user_group_payload, keys=(ORGANIZATION,)),
     "account": EntitySpec(
         "org",
         account_payload,
-        prepare=find_account_parents,
+        keys=(ORGANIZATION, USER_GROUP),
         rejects={"bad_integer": f"({COMMISSION}) IS NULL"},
     ),
     "user": EntitySpec(
         "user",
         user_payload,
-        prepare=find_user_parents,
+        keys=(ORGANIZATION, TEAM_LEAD),
         rejects={"bad_date": f"({not_text('date_of_birth')} OR {not_text('date_of_joining')})"},
     ),
     "lender": EntitySpec(
@@ -265,7 +266,11 @@ SPECS: dict[str, EntitySpec] = {
         },
     ),
     "contact": EntitySpec(
-        "contact", pass_through, headers=CREATED_HEADER, base_key=id_text("email_id")
+        "contact",
+        pass_through,
+        headers=CREATED_HEADER,
+        base_key=id_text("email_id"),
+        merged=True,
     ),
     "contact_note": EntitySpec("contact_note", pass_through, headers=CREATED_HEADER),
     "contact_task": EntitySpec("contact_task", pass_through, headers=CREATED_HEADER),
@@ -282,15 +287,17 @@ def build_requests(
     records: DataFrame,
     spec: EntitySpec,
     config: MigrationConfig,
-    ledger_rows: DataFrame | None = None,
+    ledger_rows: DataFrame | LedgerView | None = None,
+    extra: tuple[str, ...] = (),
 ) -> DataFrame:
     """Request rows of an entity's records. A failed lookup keeps the record as payload.
 
-    Records that went through the spec's `prepare` already carry a `failure` column.
+    Records whose keys are resolved already carry a `failure` column. `extra` are expressions
+    to keep beside the requests.
     """
-    prepared = "failure" in records.columns
-    if prepared or spec.prepare:
-        rows = records if prepared else spec.prepare(records, ledger_rows)
+    resolved = "failure" in records.columns
+    if resolved or spec.keys:
+        rows = records if resolved else resolve(records, spec.keys, ledger_rows)
         payload = f"if(failure IS NULL, {spec.payload(config)}, {record_json()})"
     else:
         rows = records.selectExpr("*", f"{NO_TEXT} AS failure")
@@ -301,18 +308,19 @@ def build_requests(
         for reason, condition in spec.rejects.items()
     )
     reject = f"CASE WHEN coalesce({spec.base_key}, '') = '' THEN '{MISSING_KEY}'{conditions} END"
-    return rows.selectExpr(
-        "pk",
-        "sk",
-        f"{spec.base_key} AS base_key",
-        "seq",
-        "pk AS step",
-        "'' AS pos",
-        "false AS bulk",
-        f"{lit(config.endpoint(spec.endpoint, spec.suffix))} AS endpoint",
-        f"{header_map(spec.headers)} AS headers",
-        f"{payload} AS payload",
-        "failure",
-        f"{reject} AS reject_reason",
-        "CAST(NULL AS INT) AS n_items",
-    ).select(*REQUEST.names)
+    built = {
+        "pk": "pk",
+        "sk": "sk",
+        "base_key": spec.base_key,
+        "seq": "seq",
+        "step": "pk",
+        "pos": "''",
+        "bulk": "false",
+        "endpoint": lit(config.endpoint(spec.endpoint, spec.suffix)),
+        "headers": header_map(spec.headers),
+        "payload": payload,
+        "failure": "failure",
+        "reject_reason": reject,
+        "n_items": "CAST(NULL AS INT)",
+    }
+    return rows.selectExpr(*[f"{built[name]} AS {name}" for name in REQUEST.names], *extra)

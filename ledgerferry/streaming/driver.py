@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerferry.config import MigrationConfig
 from ledgerferry.operators.deliver import OpenTransport
 from ledgerferry.plans.flow import BatchResult, run_batch
+from ledgerferry.plans.registry import DEFAULT, EntityRegistry
 from ledgerferry.sources.ledger import FANOUT, LedgerStore
 from ledgerferry.sources.storage import write_once
 
@@ -47,6 +48,7 @@ def start_migration(
     on_batch: Callable[[BatchResult], None] | None = None,
     fanout: int = FANOUT,
     keep_batches: int = KEEP_BATCHES,
+    registry: EntityRegistry = DEFAULT,
 ) -> StreamingQuery:
     """Start the job. An error in a batch fails the query, so that no batch is lost: a
     restart with the same checkpoint runs the failed batch again under the same id.
@@ -58,7 +60,7 @@ def start_migration(
     def process(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        result = run_batch(batch, batch_id, store, open_transport, config)
+        result = run_batch(batch, batch_id, store, open_transport, config, registry=registry)
         write_reports(store, result)
         if on_batch:
             on_batch(result)
