@@ -6,9 +6,11 @@ piece's end a run of three, two or one words (the piece-end corrections). Only t
 all shorter counts follow from flow: what leaves a node plus what ends there is the node's count,
 nodes that start alike and pieces that end there give a pair's, pairs a word's.
 
-A word that occurs less than `least` times is in no phrase that is asked for, so pieces are cut
-there. Which words these are is read off a sketch of SKETCH counters over (language, word), which
-may keep a rare word but never loses a frequent one.
+A word or a pair of neighbours that occurs less than `least` times is in no phrase that is asked for,
+so pieces are cut there beforehand, and what is counted and shuffled is mostly phrases that matter.
+Rare words are read off a sketch of SKETCH counters over (language, word), rare pairs off sums over
+PAIR_BITS-bit hashes, kept as a bitmap of fixed size. Either may keep what is rare, but never loses what is
+frequent; counts do not depend on them.
 
 The graph of frequent edges is compacted: edges joined by nodes with one frequent edge in and one
 out make one path (pointer doubling over the edges; edges of closed rings stay single). Paths carry
@@ -42,8 +44,10 @@ from ledgerferry.llm.piecebpe import by_bytes
 LEAST, TOP = 30, 2_000
 #: Counters of the sketch of words, and the blocks in which they are summed up.
 SKETCH, BLOCKS = 1 << 22, 16
-#: Words that a task counts together.
-FLUSH = 1_500_000
+#: Bits of a pair's hash, of its place in the bitmap, and words for which a shard of the hashes is made.
+PAIR_BITS, MAP_BITS, SHARD_WORDS = 40, 27, 1 << 20
+#: Words that a task counts together, and words of the corpus for each task that adds counts up.
+FLUSH, TASK_WORDS = 1_500_000, 1 << 22
 #: Edges in one row of a path; longer paths go on in the next row.
 PART = 512
 
@@ -71,13 +75,27 @@ def words_of(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarra
     return words.dictionary_encode(), np.searchsorted(ends, start, "right") - 1, piece
 
 
-def cells(langs: pa.Array, lang_codes: np.ndarray, words: pa.Array, word_codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (language, word) as one number each with their counter, and which of them each word is."""
+_P, _Q, _R = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+
+
+def hashes(langs: pa.Array, lang_codes: np.ndarray, words: pa.Array, word_codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the distinct (language, word), and which of them each word is."""
     both, back = np.unique(lang_codes * np.int64(max(len(words), 1)) + word_codes, return_inverse=True)
     of_lang = pd.util.hash_array(np.array(langs.to_pylist(), object), categorize=False)
     of_word = pd.util.hash_array(np.array(words.to_pylist(), object), categorize=False)
     lang, word = np.divmod(both, max(len(words), 1))
-    return ((of_lang[lang] * np.uint64(0x9E3779B97F4A7C15) ^ of_word[word]) & np.uint64(SKETCH - 1)).astype(np.int64), back
+    return of_lang[lang] * _P ^ of_word[word], back
+
+
+def counter(h: np.ndarray) -> np.ndarray:
+    return (h & np.uint64(SKETCH - 1)).astype(np.int64)
+
+
+def pair_hash(h: np.ndarray) -> np.ndarray:
+    """PAIR_BITS-bit hashes of neighbours, from those of words (language included)."""
+    x = h[:-1] * _Q + (h[1:] ^ (h[1:] >> np.uint64(31))) * _R
+    x = (x ^ (x >> np.uint64(29))) * _P
+    return (x >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
 
 
 def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -92,41 +110,109 @@ def _read(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, pa.Array, np.nda
     return langs.dictionary, of_word, coded.dictionary, coded.indices.to_numpy().astype(np.int64), piece
 
 
-def frequent_cells(texts: DataFrame, least: int) -> np.ndarray:
-    """Of each counter of the sketch: can a word in it occur `least` times? One small array, whatever the corpus."""
+def frequent_words(texts: DataFrame, least: int) -> tuple[np.ndarray, int]:
+    """A bitmap of the sketch's counters in which a word can occur `least` times, and the number of words."""
+    kind = np.uint8 if least < 256 else np.int32
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SKETCH, np.int32)
+        total, n = np.zeros(SKETCH, np.int32), 0
         for batch in batches:
             for part in by_bytes(batch):
                 langs, of_word, words, code, _ = _read(part)
                 if len(code):
-                    cell, back = cells(langs, of_word, words, code)
-                    np.add.at(total, cell, np.bincount(back, minlength=len(cell)).astype(np.int32))
-        seen = np.minimum(total, least).astype(np.uint8 if least < 256 else np.int32).reshape(BLOCKS, -1)
-        yield pa.record_batch([pa.array(range(BLOCKS), pa.int32()), pa.array([s.tobytes() for s in seen], pa.binary())], ["block", "seen"])
+                    h, back = hashes(langs, of_word, words, code)
+                    np.add.at(total, counter(h), np.bincount(back, minlength=len(h)).astype(np.int32))
+                    n += len(code)
+        seen = np.minimum(total, least).astype(kind).reshape(BLOCKS, -1)
+        counts = [n, *[0] * (BLOCKS - 1)]
+        yield pa.record_batch([pa.array(range(BLOCKS), pa.int32()), pa.array([s.tobytes() for s in seen], pa.binary()), pa.array(counts, pa.int64())], ["block", "seen", "n"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
+        words = 0
         for batch in batches:
-            for block, seen in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                values = np.frombuffer(seen, np.uint8 if least < 256 else np.int32)
+            for block, seen, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                values = np.frombuffer(seen, kind)
                 sums[block] = np.minimum(sums[block] + values, least) if block in sums else values.astype(np.int32)
+                words += n
         packed = [np.packbits(s >= least).tobytes() for s in sums.values()]
-        yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array(packed, pa.binary())], ["block", "bits"])
+        yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array(packed, pa.binary()), pa.array([words, *[0] * len(sums)][: len(sums)], pa.int64())], ["block", "bits", "n"])
 
-    parts = texts.mapInArrow(tidy(count), "block int, seen binary").repartition(BLOCKS, "block").mapInArrow(add, "block int, bits binary")
-    bits = np.zeros((BLOCKS, SKETCH // BLOCKS), bool)
+    parts = texts.mapInArrow(tidy(count), "block int, seen binary, n long").repartition(BLOCKS, "block").mapInArrow(add, "block int, bits binary, n long")
+    bits, words = np.zeros((BLOCKS, SKETCH // BLOCKS // 8), np.uint8), 0
     for row in parts.collect():
-        bits[row["block"]] = np.unpackbits(np.frombuffer(row["bits"], np.uint8)).astype(bool)
-    return bits.reshape(-1)
+        bits[row["block"]] = np.frombuffer(row["bits"], np.uint8)
+        words += row["n"]
+    return bits.reshape(-1), words
+
+
+def is_set(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Of places in a packed bitmap: is the bit set?"""
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
+def frequent_pairs(texts: DataFrame, words: np.ndarray, n: int, least: int) -> np.ndarray:
+    """A bitmap, by the first MAP_BITS bits of their hash, of the pairs that can occur `least` times."""
+    held = texts.sparkSession.sparkContext.broadcast(words)
+    kind, most = (np.uint8, 255) if least < 256 else (np.uint32, (1 << 32) - 1)
+    bits = min(MAP_BITS - 3, max(PAIR_BITS - 32, (n // SHARD_WORDS).bit_length()))
+    low = PAIR_BITS - bits
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: list[np.ndarray] = []
+
+        def send() -> pa.RecordBatch:
+            found, cnt = np.unique(np.concatenate(met), return_counts=True)
+            cell, cnt, shard = (found & ((1 << low) - 1)).astype(np.uint32), np.minimum(cnt, most).astype(kind), found >> low
+            cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]]))
+            pack = lambda x: pa.array([x[i:j].tobytes() for i, j in zip(cuts, cuts[1:])], pa.binary())
+            return pa.record_batch([pa.array(shard[cuts[:-1]], pa.int32()), pack(cell), pack(cnt)], ["shard", "cell", "cnt"])
+
+        for batch in batches:
+            for part in by_bytes(batch):
+                _, piece, h, _, _ = _kept(part, held.value)
+                if len(h) > 1:
+                    met.append(pair_hash(h)[piece[1:] == piece[:-1]])
+                if sum(map(len, met)) >= FLUSH:
+                    yield send()
+                    met.clear()
+        if sum(map(len, met)):
+            yield send()
+
+    def add(key: tuple, group: pa.Table) -> pa.Table:
+        cell = np.frombuffer(b"".join(group["cell"].to_pylist()), np.uint32)
+        cnt = np.frombuffer(b"".join(group["cnt"].to_pylist()), kind)
+        order = np.argsort(cell, kind="stable")
+        cell, cnt = cell[order], cnt[order].astype(np.int64)
+        heads = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+        often = cell[heads][np.add.reduceat(cnt, heads) >= least]
+        own = np.zeros(1 << (MAP_BITS - bits), bool)
+        own[often >> np.uint32(PAIR_BITS - MAP_BITS)] = True
+        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([np.packbits(own).tobytes()], pa.binary())], ["shard", "bits"])
+
+    out = np.zeros(1 << (MAP_BITS - 3), np.uint8)
+    wide = len(out) >> bits
+    for row in texts.mapInArrow(tidy(count), "shard int, cell binary, cnt binary").groupBy("shard").applyInArrow(add, "shard int, bits binary").toLocalIterator():
+        out[row["shard"] * wide : (row["shard"] + 1) * wide] = np.frombuffer(row["bits"], np.uint8)
+    held.destroy()
+    return out
+
+
+def _kept(part: pa.RecordBatch, bits: np.ndarray) -> tuple[dict[str, int], np.ndarray, np.ndarray, pa.DictionaryArray, pa.DictionaryArray]:
+    """Words by language; of the words that are not rare: piece, hash, word and language."""
+    langs, of_word, words, code, piece = _read(part)
+    total = dict(zip(langs.to_pylist(), np.bincount(of_word, minlength=len(langs)).tolist(), strict=True))
+    h, back = hashes(langs, of_word, words, code) if len(code) else (np.zeros(0, np.uint64), code)
+    kept = is_set(bits, counter(h))[back]
+    named = [pa.DictionaryArray.from_arrays(pa.array(x[kept], pa.int32()), y) for x, y in ((code, words), (of_word, langs))]
+    return total, (piece + np.cumsum(~kept))[kept], h[back][kept], *named
 
 
 class _Counter:
     """Longest runs of words, counted for many texts together."""
 
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits
+    def __init__(self, words: np.ndarray, pairs: np.ndarray):
+        self.word_bits, self.pair_bits = words, pairs
         self.clear()
 
     def clear(self) -> None:
@@ -135,25 +221,24 @@ class _Counter:
         self.pieces: list[np.ndarray] = []
         self.size, self.last = 0, 0
 
-    def add(self, batch: pa.RecordBatch, total: dict[str, int]) -> None:
-        langs, of_word, words, code, piece = _read(batch)
-        for lang, n in zip(langs.to_pylist(), np.bincount(of_word, minlength=len(langs)).tolist(), strict=True):
+    def add(self, part: pa.RecordBatch, total: dict[str, int]) -> None:
+        counted, piece, h, words, langs = _kept(part, self.word_bits)
+        for lang, n in counted.items():
             total[lang] = total.get(lang, 0) + n
-        if not len(code):
-            return
-        cell, back = cells(langs, of_word, words, code)
-        kept = self.bits[cell][back]
-        piece = (piece + np.cumsum(~kept))[kept] + self.last + 1  # a rare word ends a piece
         if not len(piece):
             return
+        # A rare pair ends a piece between its words, as a rare word did.
+        apart = ~is_set(self.pair_bits, pair_hash(h) >> (PAIR_BITS - MAP_BITS))
+        piece = piece + np.append(0, np.cumsum(apart)) + self.last + 1
         self.last = int(piece[-1])
         self.size += len(piece)
         self.pieces.append(piece)
-        self.words.append(pa.DictionaryArray.from_arrays(pa.array(code[kept], pa.int32()), words))
-        self.langs.append(pa.DictionaryArray.from_arrays(pa.array(of_word[kept], pa.int32()), langs))
+        self.words.append(words)
+        self.langs.append(langs)
 
-    def flush(self) -> Iterator[pa.RecordBatch]:
-        """(lang, node, next, cnt): each distinct run, as up to three words and the one that follows."""
+    def flush(self, parts: int) -> Iterator[pa.RecordBatch]:
+        """(part, runs): each distinct run of up to three words and the one that follows, with its count;
+        runs that begin with the same three words go to one part."""
         if not self.size:
             return
         words, langs = (pa.chunked_array(x).unify_dictionaries().combine_chunks() for x in (self.words, self.langs))
@@ -170,56 +255,94 @@ class _Counter:
         found, cnt = np.unique((head * len(tails) + tail) * many + langs.indices.to_numpy(), return_counts=True)
         both, lang = np.divmod(found, many)
         head, tail = heads[both // len(tails)], tails[both % len(tails)]
+        code = [x for pair in (head, tail) for x in np.divmod(pair, width)]
+        named = [pd.util.hash_array(np.array(["", *x.dictionary.to_pylist()], object), categorize=False) for x in (words, langs)]
+        mixed = named[1][lang + 1]
+        for k in range(3):
+            mixed = (mixed ^ named[0][code[k]]) * _P
+            mixed ^= mixed >> np.uint64(31)
+        part = ((mixed * _Q >> np.uint64(20)) % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
         names = pa.concat_arrays([pa.array([None], words.dictionary.type), words.dictionary]).cast(pa.string())
-        columns = [names.take(pa.array(x)) for pair in (head, tail) for x in np.divmod(pair, width)]
-        node = pc.binary_join_element_wise(*columns[:3], " ", null_handling="skip")
-        table = pa.table([langs.dictionary.take(pa.array(lang)), node, columns[3], pa.array(cnt, pa.int64())], ["lang", "node", "next", "cnt"])
-        yield from table.to_batches(max_chunksize=50_000)
+        cuts = np.flatnonzero(np.concatenate([[True], part[order][1:] != part[order][:-1], [True]]))
+        for i, j in zip(cuts, cuts[1:]):
+            own = order[i:j]
+            columns = [names.take(pa.array(c[own])) for c in code]
+            rows = [langs.dictionary.take(pa.array(lang[own])), _node(columns[:3]), columns[3], pa.array(cnt[own], pa.int64())]
+            yield pa.record_batch([pa.array([part[own[0]]], pa.int32()), pa.array([_pack(pa.table(rows, RUNS))], pa.binary())], ["part", "runs"])
 
 
-def runs(texts: DataFrame, bits: np.ndarray) -> DataFrame:
-    """(lang, node, next, cnt) of every task; a node of no words counts all words of the language."""
-    held = texts.sparkSession.sparkContext.broadcast(np.packbits(bits))
+RUNS = pa.schema([("lang", pa.string()), ("node", pa.string()), ("next", pa.string()), ("cnt", pa.int64())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, total = _Counter(np.unpackbits(held.value).astype(bool)), {}
-        for batch in batches:
-            for part in by_bytes(batch):
-                counter.add(part, total)
-                if counter.size >= FLUSH:
-                    yield from counter.flush()
-        yield from counter.flush()
-        none = pa.array([None] * len(total), pa.string())
-        nodes = pa.array([""] * len(total), pa.string())
-        yield pa.record_batch([pa.array(list(total), pa.string()), nodes, none, pa.array(list(total.values()), pa.int64())], ["lang", "node", "next", "cnt"])
 
-    return texts.mapInArrow(tidy(run), "lang string, node string, next string, cnt long")
+def _node(columns: list[pa.Array]) -> pa.Array:
+    return pc.binary_join_element_wise(*columns, " ", null_handling="skip")
+
+
+def _pack(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
 
+def _summed(tables: list[pa.Table], *keys: str) -> pa.Table:
+    return pa.concat_tables(tables).group_by(list(keys)).aggregate([("cnt", "sum")]).rename_columns([*keys, "cnt"])
 
-def _n_words(phrase: str) -> Column:
-    return F.length(phrase) - F.length(F.translate(phrase, " ", "")) + F.when(F.col(phrase) == "", 0).otherwise(1)
+
+def flows(added: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
+    """(lang, phrase, n, f) from all runs of some nodes: frequent edges and nodes, and what the nodes
+    give to the pair and the word they begin with; n = 0 holds the number of words."""
+    edges = added.filter(pc.and_(pc.is_valid(added["next"]), pc.greater_equal(added["cnt"], least)))
+    nodes = _summed([added], "lang", "node")
+    length = pc.add(pc.count_substring(nodes["node"], " "), pc.if_else(pc.equal(nodes["node"], ""), 0, 1))
+    kinds = [(4, edges["lang"], pc.binary_join_element_wise(edges["node"], edges["next"], " "), edges["cnt"])]
+    for n in (0, 3):
+        own = nodes.filter(pc.equal(length, n) if n == 0 else pc.and_(pc.equal(length, n), pc.greater_equal(nodes["cnt"], least)))
+        kinds.append((n, own["lang"], own["node"], own["cnt"]))
+    for n, first in ((2, r"^([^ ]+ [^ ]+) .*$"), (1, r"^([^ ]+) .*$")):
+        own = nodes.filter(pc.greater_equal(length, n))
+        own = own.set_column(1, "node", pc.replace_substring_regex(own["node"], f"(?s){first}", r"\1"))
+        own = _summed([own], "lang", "node")
+        kinds.append((n, own["lang"], own["node"], own["cnt"]))
+    for n, lang, phrase, f in kinds:
+        table = pa.table([lang, phrase, pa.array(np.full(len(f), n), pa.int32()), f], ["lang", "phrase", "n", "f"])
+        yield from table.combine_chunks().to_batches(max_chunksize=50_000)
 
 
 def phrase_counts(texts: DataFrame, least: int = LEAST) -> DataFrame:
     """(lang, phrase, n, f): all phrases of one to four words that occur at least `least` times; n = 0
-    holds the number of words. One shuffle of the runs, by node, and one of the nodes' flow to pairs and words."""
-    edges = runs(texts, frequent_cells(texts, least)).repartition("node", "lang").groupBy("node", "lang", "next").agg(F.sum("cnt").alias("f"))
-    of_node, follows = Window.partitionBy("node", "lang"), F.coalesce("next", F.lit(""))
-    seen = edges.select("*", F.sum("f").over(of_node).alias("flow"), (follows == F.min(follows).over(of_node)).alias("head"), _n_words("node").alias("n"))
-    head, n = F.col("head"), F.col("n")
-
-    def row(when: Column, words: int, phrase: Column | str, f: str) -> Column:
-        return F.when(when, F.struct(F.lit(words).alias("n"), (F.col(phrase) if isinstance(phrase, str) else phrase).alias("phrase"), F.col(f).alias("f")))
-
-    rows = F.array(
-        row(F.col("next").isNotNull() & (F.col("f") >= least), 4, F.concat_ws(" ", "node", "next"), "f"),
-        row(head & (n == 3) & (F.col("flow") >= least), 3, "node", "flow"),
-        row(head & (n >= 2), 2, F.substring_index("node", " ", 2), "flow"),
-        row(head & (n >= 1), 1, F.substring_index("node", " ", 1), "flow"),
-        row(head & (n == 0), 0, "node", "flow"),
-    )
-    flow = seen.where(head | (F.col("f") >= least)).select("lang", F.explode(F.array_compact(rows)).alias("row")).select("lang", "row.*")
-    return flow.groupBy("phrase", "lang", "n").agg(F.sum("f").alias("f")).where((F.col("n") == 0) | (F.col("f") >= least)).select("lang", "phrase", "n", "f")
+    holds the number of words. One shuffle of the runs, packed, by node, and one of the nodes' flow to
+    pairs and words."""
+    words, n = frequent_words(texts, least)
+    held = texts.sparkSession.sparkContext.broadcast((words, frequent_pairs(texts, words, n, least)))
+    parts = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // TASK_WORDS))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, total = _Counter(*held.value), {}
+        for batch in batches:
+            for part in by_bytes(batch):
+                found.add(part, total)
+                if found.size >= FLUSH:
+                    yield from found.flush(parts)
+        yield from found.flush(parts)
+        if total:
+            rows = [pa.array(list(total), pa.string()), pa.array([""] * len(total)), pa.nulls(len(total), pa.string()), pa.array(list(total.values()), pa.int64())]
+            yield pa.record_batch([pa.array([0], pa.int32()), pa.array([_pack(pa.table(rows, RUNS))], pa.binary())], ["part", "runs"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # What is held is the distinct runs, however many tasks have counted them.
+        added, waiting, size = RUNS.empty_table(), [], 0
+        for batch in batches:
+            for packed in batch.column(1).to_pylist():
+                waiting.append(pa.ipc.open_stream(packed).read_all())
+                size += len(waiting[-1])
+                if size > max(500_000, len(added)):
+                    added, waiting, size = _summed([added, *waiting], "lang", "node", "next"), [], 0
+        yield from flows(_summed([added, *waiting], "lang", "node", "next"), least)
+
+    found = texts.mapInArrow(tidy(count), "part int, runs binary").repartition(parts, "part").mapInArrow(tidy(add), "lang string, phrase string, n int, f long")
+    return found.groupBy("phrase", "lang", "n").agg(F.sum("f").alias("f")).where((F.col("n") == 0) | (F.col("f") >= least)).select("lang", "phrase", "n", "f")
 
 
 def _last(phrase: str, n: int) -> Column:
@@ -299,7 +422,11 @@ def candidates(paths: DataFrame, counts: DataFrame) -> DataFrame:
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, top: int = TOP) -> DataFrame:
     """Each language's first `top` phrases: lang, rank, phrase, a, l, r, n, score."""
     counts = cut(phrase_counts(_texts(docs, text_col, lang_col), least), "counts")
-    found = candidates(cut(compact(counts), "compacted"), counts)
+    return ranked(candidates(cut(compact(counts), "compacted"), counts), counts, top)
+
+
+def ranked(found: DataFrame, counts: DataFrame, top: int) -> DataFrame:
+    """Candidates that no longer phrase stands for, by the score of their worst cut."""
     kept = found.where("longer IS NULL OR CAST(100 AS decimal(3,0)) * CAST(longer AS decimal(19,0)) < CAST(80 AS decimal(3,0)) * CAST(a AS decimal(19,0))")
     score = "CAST(2000000 AS decimal(7,0)) * CAST(a AS decimal(19,0)) div (CAST(x.l AS decimal(19,0)) + CAST(x.r AS decimal(19,0)))"
     worst = F.expr(f"array_min(transform(cuts, (x, k) -> struct({score} AS score, k AS k, x.l AS l, x.r AS r)))")
