@@ -49,6 +49,8 @@ class MigrationConfig:
     # the batch: at least the session's shuffle partitions, and one for so many records.
     delivery_partitions: int | None = None
     records_per_task: int = 20_000
+    # Keep a journal of what was sent and answered, where the ledger's file system allows it.
+    outbox: bool = True
 
     def endpoint(self, name: str, suffix: str = "") -> str:
         return self.endpoints[name] + suffix

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ from ledgerferry.functions.scalars import (
     to_string_array,
 )
 from ledgerferry.functions.tagged import attr, has, record_json
-from ledgerferry.operators.decode import accepted, decode
+from ledgerferry.operators.decode import accepted, decode, decode_deep
 from ledgerferry.operators.deliver import deliver
 from ledgerferry.operators.latest import latest
 from ledgerferry.operators.lookup import attach_parent, chain_levels, lookup, require
@@ -50,6 +51,7 @@ from ledgerferry.plans.outcomes import ledger_rows, settle, unresolved
 from ledgerferry.sources.changes import stream_json
 from ledgerferry.sources.ledger import LedgerStore, outcome_count
 from ledgerferry.sources.storage import cut, new_scratch_path
+from ledgerferry.streaming.contacts import start_contacts
 from ledgerferry.streaming.driver import start_migration
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -466,6 +468,37 @@ def parent_id_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attach_parent(items, parents, ["l_orderkey"])
 
 
+@query(
+    """
+    SELECT event_id, event_id % 8 + 1 AS depth,
+           CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'q' WHEN 2 THEN 'x' END AS leaf_text,
+           CASE WHEN event_id % 4 = 0 THEN round(value, 4) END AS leaf_number,
+           CASE WHEN event_id % 4 = 3 THEN 'bad_attribute' END AS reject_reason
+    FROM events
+    """
+)
+def decode_depths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One to eight levels around a number that is no text, two tags, a text, or no number at all:
+    the same reading at every depth."""
+    leaf = (
+        "CASE event_id % 4 WHEN 0 THEN concat('{\"N\":', value, '}')"
+        " WHEN 1 THEN '{\"N\":\"5\",\"S\":\"q\"}' WHEN 2 THEN '{\"S\":\"x\"}' ELSE '{\"N\":\"x\"}' END"
+    )
+    depth = "CAST(event_id % 8 + 1 AS INT)"
+    deep = f"concat(repeat('{{\"M\":{{\"k\":', {depth}), {leaf}, repeat('}}}}', {depth}))"
+    raw = f"concat('{{\"pk\":{{\"S\":\"deal\"}},\"v\":', {deep}, '}}')"
+    decoded = decode(changes(table(spark, sf_dir, "events"), "event_id", raw))
+    shallow = decoded.filter("NOT reject_reason <=> 'too_deep'")
+    text = f"{attr('v')}.text"
+    return shallow.unionByName(decode_deep(decoded)).selectExpr(
+        "seq AS event_id",
+        f"if(attrs IS NULL, seq % 8 + 1, (length({text}) - length(replace({text}, '\"k\"', ''))) DIV 3) AS depth",
+        f"nullif(regexp_extract({text}, '\"([qx])\"', 1), '') AS leaf_text",
+        f"round(CAST(nullif(regexp_extract({text}, ':([-0-9.E]+)', 1), '') AS DOUBLE), 4) AS leaf_number",
+        "reject_reason",
+    )
+
+
 # --- fan-out ----------------------------------------------------------------------------
 
 
@@ -1217,6 +1250,105 @@ def payload_contact_note(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    SELECT pk, CAST(o_orderkey AS VARCHAR) AS sk, o_orderpriority AS title, round(o_totalprice, 2) AS price,
+           CAST(o_custkey AS DOUBLE) AS customer, endpoint, false AS has_size, 'q' AS inner_size
+    FROM orders, (VALUES ('deal', 'https://target.invalid/mock/fees'),
+                         ('deal_task', 'https://target.invalid/mock/deal_tasks'),
+                         ('contact_task', 'https://target.invalid/contact_task')) AS kinds(pk, endpoint)
+    """
+)
+def payload_deals_and_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is said of deals and tasks; a size attribute of the store is dropped, but not inside values."""
+    kinds = ("deal", "deal_task", "contact_task")
+    requests = [
+        build_requests(
+            records(
+                table(spark, sf_dir, "orders"),
+                "o_orderkey",
+                image(
+                    kind,
+                    n("o_orderkey"),
+                    title=s("o_orderpriority"),
+                    price=n("o_totalprice"),
+                    SizeBytes=n("length(o_orderpriority)"),
+                    detail=m(customer=n("o_custkey"), SizeBytes=s("'q'")),
+                ),
+            ),
+            SPECS[kind],
+            CONFIG,
+        )
+        for kind in kinds
+    ]
+    return read_payload(
+        requests[0].unionByName(requests[1]).unionByName(requests[2]),
+        "title string, price double, SizeBytes string, detail struct<customer:double,SizeBytes:string>",
+        "pk",
+        "sk",
+        "p.title",
+        "round(p.price, 2) AS price",
+        "p.detail.customer",
+        "endpoint",
+        "p.SizeBytes IS NOT NULL AS has_size",
+        "p.detail.SizeBytes AS inner_size",
+    )
+
+
+@query(
+    """
+    SELECT CAST(o_orderkey AS VARCHAR) AS sk,
+           CASE WHEN o_orderstatus = 'O' AND c_acctbal >= 0 THEN 'v2-' || o_custkey END AS organization_id,
+           CASE WHEN o_orderstatus <> 'O' THEN 'v2_not_found:organization:'
+                WHEN c_acctbal >= 0 THEN NULL ELSE 'v2_not_found:organization:' || o_custkey END AS failure
+    FROM orders LEFT JOIN customer ON o_custkey = c_custkey
+    """
+)
+def lookup_blank_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open orders name their organization; of the others it is an empty text, or left out."""
+    decoded = records(
+        table(spark, sf_dir, "orders"),
+        "o_orderkey",
+        image(
+            "user_group",
+            n("o_orderkey"),
+            organization_id=f"CASE o_orderstatus WHEN 'O' THEN {s('o_custkey')} WHEN 'F' THEN {s(lit(''))} END",
+        ),
+    )
+    ledger = ledger_of(table(spark, sf_dir, "customer"), "organization", "c_custkey", "c_acctbal >= 0")
+    return read_app_request(
+        build_requests(decoded, SPECS["user_group"], CONFIG, ledger),
+        "organization_id string",
+        "sk",
+        "p.organization_id",
+        "failure",
+    )
+
+
+@query(
+    """
+    SELECT CAST(o_orderkey AS VARCHAR) AS sk, CASE WHEN c_acctbal >= 0 THEN CAST(o_custkey AS DOUBLE) END AS lead,
+           CASE WHEN c_acctbal >= 0 THEN NULL ELSE 'v2_not_found:organization:' || o_custkey END AS failure
+    FROM orders LEFT JOIN customer ON o_custkey = c_custkey
+    """
+)
+def payload_numeric_lead(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A team lead that is a number is not looked up, but passed on."""
+    decoded = records(
+        table(spark, sf_dir, "orders"),
+        "o_orderkey",
+        image("user", n("o_orderkey"), organization_id=n("o_custkey"), team_lead_user_id=n("o_custkey")),
+    )
+    ledger = ledger_of(table(spark, sf_dir, "customer"), "organization", "c_custkey", "c_acctbal >= 0")
+    return read_payload(
+        build_requests(decoded, SPECS["user"], CONFIG, ledger),
+        "data struct<team_lead_user_id:double>",
+        "sk",
+        "p.data.team_lead_user_id AS lead",
+        "failure",
+    )
+
+
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS deal_id, o_orderpriority AS fms FROM orders")
 def payload_fms(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = records(
@@ -1499,6 +1631,49 @@ def migration_groups_and_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM_FILES = 12
 
 
+def stage(changed: DataFrame, path: str) -> None:
+    """Changes as JSON files of three arrivals, several files each; files are picked up in the order
+    they were written."""
+    staged = cut(changed)
+    third, two_thirds = staged.approxQuantile("seq", [1 / 3, 2 / 3], 0.01)
+    for arrival in (f"seq <= {third}", f"seq > {third} AND seq <= {two_thirds}", f"seq > {two_thirds}"):
+        staged.filter(arrival).repartition(STREAM_FILES // 3).write.mode("append").json(path)
+
+
+@query(CONTACT_SQL)
+def stream_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same contacts as a stream in three triggers, whose state store holds what was accepted."""
+    path = new_scratch_path(spark, "contact_stream")
+    new_image = image(
+        "contact",
+        n("event_id"),
+        email_id=s("user_id"),
+        first_name=s("if(value >= 10, props, '')"),
+        role_based_attributes=many(m(role=s(ROLE_OF))),
+    )
+    stage(changes(table(spark, sf_dir, "events"), "event_id", new_image), f"{path}/changes")
+    logs: list[DataFrame] = []
+    job = start_contacts(
+        stream_json(spark, f"{path}/changes", max_files_per_trigger=STREAM_FILES // 3),
+        LedgerStore(spark, f"{path}/ledger"),
+        open_transport,
+        f"{path}/checkpoint",
+        CONFIG,
+        available_now=True,
+        on_log=lambda log, batch_id: logs.append(log),
+    )
+    job.awaitTermination()
+    return read_payload(
+        reduce(lambda a, b: a.unionByName(b), logs),
+        "first_name string, role_based_attributes array<struct<role:string>>",
+        "seq AS event_id",
+        "CAST(base_key AS BIGINT) AS user_id",
+        "is_success",
+        "p.first_name AS first_name",
+        "CAST(size(p.role_based_attributes) AS BIGINT) AS n_roles",
+    )
+
+
 @query(
     """
     SELECT CASE WHEN user_id % 11 <> 0 THEN 'success#' ELSE 'failed#' END || user_id || '-' || event_type
@@ -1511,18 +1686,8 @@ STREAM_FILES = 12
 def stream_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events, staged as JSON files in order of arrival, replayed by the stream job."""
     path = new_scratch_path(spark, "stream")
-    staged = cut(
-        changes(
-            table(spark, sf_dir, "events"),
-            "event_id",
-            image("deal_note", s("concat(user_id, '-', event_type)"), value=n("value")),
-        )
-    )
-    third, two_thirds = staged.approxQuantile("seq", [1 / 3, 2 / 3], 0.01)
-    # Files are picked up in the order they were written: three arrivals, several files each.
-    for arrival in (f"seq <= {third}", f"seq > {third} AND seq <= {two_thirds}", f"seq > {two_thirds}"):
-        files = staged.filter(arrival).repartition(STREAM_FILES // 3)
-        files.write.mode("append").json(f"{path}/changes")
+    notes = image("deal_note", s("concat(user_id, '-', event_type)"), value=n("value"))
+    stage(changes(table(spark, sf_dir, "events"), "event_id", notes), f"{path}/changes")
     store = LedgerStore(spark, f"{path}/ledger")
     job = start_migration(
         stream_json(spark, f"{path}/changes", max_files_per_trigger=STREAM_FILES // 3),
