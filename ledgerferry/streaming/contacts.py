@@ -2,7 +2,8 @@
 
 The batch flow looks a contact's state up in the ledger for every batch. Here the state store holds
 it, one payload for each contact, and a micro-batch touches the contacts it brings only. State and
-offsets are one checkpoint: a batch that failed is run again from the state before it.
+offsets are one checkpoint: a batch that failed is run again from the state before it, and asks the
+journal of its requests for the answers it has had already.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,11 +22,11 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ledgerferry.config import MigrationConfig
 from ledgerferry.operators.decode import accepted, decode
 from ledgerferry.operators.deliver import OpenTransport, Sender, send_contact
+from ledgerferry.operators.outbox import outbox_path
 from ledgerferry.plans.entities import SPECS, build_requests
 from ledgerferry.plans.outcomes import ledger_rows, settle
 from ledgerferry.schemas import DELIVERY, REQUEST
 from ledgerferry.sources.ledger import LedgerStore
-from ledgerferry.sources.storage import write_once
 from ledgerferry.streaming.driver import BATCH_INTERVAL
 
 DELIVERED = T.StructType([*REQUEST.fields, *DELIVERY.fields])
@@ -36,17 +38,21 @@ def contact_requests(changes: DataFrame, entity: str = "contact", config: Migrat
     return build_requests(records, SPECS[entity], config or MigrationConfig())
 
 
-def deliver_with_state(requests: DataFrame, open_transport: OpenTransport, max_attempts: int = 2) -> DataFrame:
+def deliver_with_state(
+    requests: DataFrame, open_transport: OpenTransport, max_attempts: int = 2, outbox: str | None = None
+) -> DataFrame:
     """Merge and send a stream of contact requests; columns as `deliver` gives them.
 
     Of a micro-batch, a contact's requests go in the order of `seq`; requests that cannot be sent
-    are spread by their order number, so that rows without a key do not meet in one group.
+    are spread by their order number, so that rows without a key do not meet in one group. Journals
+    go below the folder `outbox`, batch by batch.
     """
     opened: list = []
 
     def fold(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if not opened:
-            opened.append(Sender(open_transport, max_attempts, None))
+            batch = TaskContext.get().getLocalProperty("streaming.sql.batchId")
+            opened.append(Sender(open_transport, max_attempts, f"{outbox}/{batch}" if outbox else None))
         rows = [json.loads(text) for part in parts for text in part["request"]]
         rows.sort(key=lambda r: (r.get("seq") is not None, r.get("seq") or 0, r.get("sk") or "", r.get("payload") or ""))
         now = json.loads(state.get[0]) if state.exists else None
@@ -78,18 +84,22 @@ def start_contacts(
     available_now: bool = False,
     on_log: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
-    """Start the job. Each micro-batch is written once, and then committed to the ledger."""
+    """Start the job. Each micro-batch is evaluated once, into a table, and then committed to the
+    ledger; one that is run again is evaluated again, since its state has to move."""
     config = config or MigrationConfig()
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        log = write_once(settle(batch), f"{store.batch_dir(batch_id)}/log_contacts")
+        settled, path = settle(batch), f"{store.batch_dir(batch_id)}/log_contacts"
+        settled.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        log = store.spark.read.schema(settled.schema).parquet(path)
         if not store.is_committed(batch_id):
             store.commit(batch_id, ledger_rows(log, batch_id))
         if on_log:
             on_log(log, batch_id)
 
     requests = contact_requests(changes, config=config)
-    delivered = deliver_with_state(requests, open_transport, config.max_attempts)
+    outbox = outbox_path(f"{store.root}/outbox/contacts") if config.outbox else None
+    delivered = deliver_with_state(requests, open_transport, config.max_attempts, outbox)
     writer = delivered.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": BATCH_INTERVAL}
     return writer.outputMode("append").trigger(**trigger).start()
