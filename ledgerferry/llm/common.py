@@ -5,16 +5,23 @@ from __future__ import annotations
 import ctypes
 import gc
 import re
+import sys
 import tempfile
+import types
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
 from functools import cache
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+#: The module on which workers keep what they hold.
+HELD = "ledgerferry_held"
+
 #: Runs of letters, the words of the language and toxicity models.
 WORD = re.compile(r"[^\W\d_]+")
 #: Rows that a task holds as Python objects at a time.
@@ -41,15 +48,50 @@ def release() -> None:
     a while would otherwise count against the next.
     """
     gc.collect()
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
         trim(0)
 
 
+def _held() -> dict[str, dict[Hashable, object]]:
+    """What a worker holds between tasks: by operator, then by the operator's own key.
+
+    Functions travel to workers by value, and module variables with them, anew for each task. So this
+    hangs on a module of its own that only the worker knows.
+    """
+    place = sys.modules.setdefault(HELD, types.ModuleType(HELD))
+    return place.__dict__.setdefault("held", {})
+
+
+def worker_held(owner: str, key: Hashable, make: Callable[[], T]) -> T:
+    """A table or model that a worker keeps for the next task of the same operator.
+
+    An operator holds one at a time. What other operators held is dropped when a task of this one begins.
+    """
+    own = _held().setdefault(owner, {})
+    if key not in own:
+        own.clear()
+        own[key] = make()
+    return own[key]
+
+
+def drop_held(owner: str) -> None:
+    """Drop what workers hold for other operators."""
+    held = _held()
+    others = [name for name in held if name != owner]
+    for name in others:
+        del held[name]
+    if others:
+        release()
+
+
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A task's function that gives memory back when it is done."""
+    """A task's function that drops what other operators held, and gives memory back when it is done."""
+    owner = run.__module__
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_held(owner)
         yield from run(batches)
         release()
 

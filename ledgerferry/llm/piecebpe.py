@@ -27,7 +27,6 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -36,16 +35,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerferry.llm.common import small_batches, tidy
+from ledgerferry.llm.common import small_batches, tidy, worker_held
 
 SPACE = "▁"
 NONE = np.int32(np.iinfo(np.int32).max)
 #: Words that a worker remembers, and their longest.
-MEMO_WORDS, MEMO_LETTERS = 300_000, 64
+MEMO_WORDS, MEMO_LETTERS = 120_000, 64
 #: A text is encoded in pieces of about so many characters, and so many characters go through the rounds together.
 PIECE = 1 << 16
 #: Bytes of text that a task holds as Python objects at a time (one text at least).
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 #: Slots of a hash table of pairs.
 SLOTS = 1 << 20
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
@@ -404,10 +403,9 @@ def _loose(raw: bytes) -> str:
     return "".join(out)
 
 
-@lru_cache(maxsize=2)
 def model(path: str) -> Model:
     """One per worker."""
-    return Model(path)
+    return worker_held(__name__, path, lambda: Model(path))
 
 
 def by_bytes(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -420,18 +418,23 @@ def by_bytes(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             yield batch.slice(a, b - a)
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and ids, the little-endian unsigned 32-bit numbers of a text's pieces between begin and end."""
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """id and ids, the little-endian unsigned 32-bit numbers of a text's pieces between begin and end.
+
+    With `decoded`, the text that the ids decode to as well: one pass and one worker for both.
+    """
+    names = ["id", "ids", "text"][: 2 + decoded]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
         for batch in batches:
             for part in by_bytes(batch):
-                ids = m.encode(part.column(1))
-                yield pa.record_batch([part.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
+                ids = pa.array(m.encode(part.column(1)), pa.binary())
+                texts = [pa.array(m.decode_all(ids), pa.string())] if decoded else []
+                yield pa.record_batch([part.column(0), ids, *texts], names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), f"id {kind}, ids binary")
+    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), f"id {kind}, ids binary" + ", text string" * decoded)
 
 
 def decode(encoded: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:

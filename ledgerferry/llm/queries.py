@@ -64,9 +64,7 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(PIECES)
-    encoded = piecebpe.encode(table(spark, sf_dir, "documents"), path)
-    return piecebpe.digest(piecebpe.decode(encoded, path, keep_ids=True))
+    return piecebpe.digest(piecebpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), decoded=True))
 
 
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
