@@ -28,6 +28,19 @@ def quote(text: str) -> str:
     return f"btrim(to_json(array({text})), '[]')"
 
 
+# What JSON escapes in a string.
+ESCAPED = lit(r'["\\\x00-\x1f]')
+
+
+def quote_field(name: str) -> str:
+    """The same as `quote`, for a column or field: most texts hold nothing to escape, and a
+    look at them costs a tenth of writing JSON. `name` is evaluated several times."""
+    return (
+        f"CASE WHEN {name} IS NULL THEN 'null' WHEN {name} RLIKE {ESCAPED} THEN {quote(name)}"
+        f" ELSE concat('\"', {name}, '\"') END"
+    )
+
+
 def number(text: str) -> str:
     """JSON number of a decimal text, as a double."""
     return f"CAST(try_cast({text} AS DOUBLE) AS STRING)"
@@ -44,7 +57,7 @@ def json_object(fields: dict[str, str]) -> str:
 
 def json_object_of(entries: str) -> str:
     """JSON object of an array<struct<key, json>>."""
-    member = f"concat({quote('f.key')}, ':', coalesce(f.json, 'null'))"
+    member = f"concat({quote_field('f.key')}, ':', coalesce(f.json, 'null'))"
     return f"concat('{{', array_join(transform({entries}, f -> {member}), ','), '}}')"
 
 

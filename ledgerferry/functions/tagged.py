@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from ledgerferry.functions.jsontext import json_object_of, lit, lits, number, quote
+from ledgerferry.functions.jsontext import json_object_of, lit, lits, number, quote_field
 from ledgerferry.schemas import NATIVE_DEPTH, tagged_value
 
 # The texts a top-level string is emptied for, and the number syntax.
@@ -45,12 +45,12 @@ def set_json(value: str) -> str:
 def scalar_json(value: str) -> str:
     """Plain JSON of a scalar or set value; null for anything else."""
     return (
-        f"CASE WHEN {value}.S IS NOT NULL THEN {quote(value + '.S')}"
+        f"CASE WHEN {value}.S IS NOT NULL THEN {quote_field(value + '.S')}"
         f" WHEN {value}.N IS NOT NULL"
         f" THEN CASE WHEN {is_number(value + '.N')} THEN {number(value + '.N')} END"
         f" WHEN {value}.BOOL IS NOT NULL THEN CAST({value}.BOOL AS STRING)"
         f" WHEN {value}.`NULL` IS NOT NULL THEN 'null'"
-        f" WHEN {value}.B IS NOT NULL THEN {quote(value + '.B')}"
+        f" WHEN {value}.B IS NOT NULL THEN {quote_field(value + '.B')}"
         f" ELSE {set_json(value)} END"
     )
 
@@ -65,7 +65,7 @@ def nested_json(value: str, depth: int = NATIVE_DEPTH) -> str:
     members = (
         f"coalesce("
         f"transform({last_wins(f'{value}.M')}, {e} ->"
-        f" struct(concat({quote(e + '.key')}, ':') AS lead, {e}.value AS value)),"
+        f" struct(concat({quote_field(e + '.key')}, ':') AS lead, {e}.value AS value)),"
         f"transform({value}.L, {e} ->"
         f" struct('' AS lead, {e} AS value)))"
     )
@@ -132,7 +132,7 @@ def text_of(attribute: str, *tags: str) -> str:
 def as_json(attribute: str) -> str:
     """Plain JSON of a decoded attribute; numbers leave as doubles."""
     return (
-        f"CASE WHEN {attribute}.tag IN ('S', 'B') THEN {quote(attribute + '.text')}"
+        f"CASE WHEN {attribute}.tag IN ('S', 'B') THEN {quote_field(attribute + '.text')}"
         f" WHEN {attribute}.tag = 'N' THEN {number(attribute + '.text')}"
         f" ELSE {attribute}.text END"
     )
