@@ -7,8 +7,10 @@ belongs to the article. On a path from the root, nodes lie first outside, then i
 then in parts cut from it: the likeliest labelling under that order is found for the whole tree, so
 no node is kept under an ancestor that was cut.
 
-The trees are trained on generated pages whose nodes are labelled: articles in several
-layouts among menus, notices, adverts, forms, sidebars and comments, at most TRAIN_PAGES.
+The trees are trained on generated pages whose nodes are labelled: articles among menus, notices,
+adverts, forms, sidebars and comments, in an element that says so, in plain containers, in tables, under
+names that mislead, or in the body itself, at most TRAIN_PAGES. Names are taken from a share of the pages,
+so that the trees learn to do without; the page itself counts as inside if its text stands in no element.
 
 Defined results: null or empty html gives an empty text; so does a page without a node inside;
 rows are independent, so repeated rows repeat; an empty table gives no rows; a tag that the end of the
@@ -33,7 +35,11 @@ from pyspark.sql import functions as F
 from ledgerferry.llm.boosting import Boosted, fit
 from ledgerferry.llm.common import slices, small_batches, tidy
 
-TRAIN_PAGES = 600
+TRAIN_PAGES, TREES = 1_200, 80
+#: What it costs, in log-odds, to cut a part from an article: most of what an article holds belongs to it.
+CUT_COST = 3.0
+#: Share of the training pages whose attributes are not read, and bound of a node's summed odds of names.
+NAMELESS, MOST_ODDS = 0.3, 6.0
 #: Elements by how they are read (fixed values of the markup language).
 BLOCKS = frozenset(
     "html head body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -60,6 +66,8 @@ MARKUP = re.compile(
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 LABEL = re.compile(r"data-in=(\d)")
+#: Marks a training page whose text in no element is inside.
+ROOT_IN = "<!--in-->"
 
 
 class Page:
@@ -67,7 +75,7 @@ class Page:
 
     def __init__(self, html: str, labels: bool = False):
         self.tags, self.parents, self.tokens, self.at = ["#root"], [-1], [()], [0]
-        self.labels = [0]
+        self.labels = [int(labels and html.startswith(ROOT_IN))]
         self.runs: list[tuple[int, str, int]] = []  # node, text, characters in links
         self.controls, self.elements = Counter(), Counter()
         stack, names, opened = [0], ["#root"], Counter()
@@ -176,8 +184,8 @@ class Scores:
         return cls({k[1:]: v for k, v in odds.items() if k[0] == "<"}, {k: v for k, v in odds.items() if k[0] != "<"})
 
     def of(self, tokens: tuple[str, ...]) -> float:
-        """The score of the token that says most; unknown ones say nothing."""
-        return max((self.tokens.get(t, 0.0) for t in tokens), key=abs, default=0.0)
+        """What the tokens say together; unknown ones say nothing."""
+        return max(-MOST_ODDS, min(MOST_ODDS, sum(self.tokens.get(t, 0.0) for t in tokens)))
 
 
 def features(pages: list[Page], scores: Scores) -> np.ndarray:
@@ -251,20 +259,19 @@ def decode(parents: list[int], odds: list[float]) -> list[bool]:
     """Which nodes lie inside, under the likeliest labelling that runs OUT, IN, CUT down each path."""
     n = len(parents)
     value = [[0.0, odds[i], 0.0] for i in range(n)]  # against all being outside
-    value[0][IN] = -1e9
     for i in range(n - 1, 0, -1):
         out, inside, cut = value[i]
         up = value[parents[i]]
         up[OUT] += max(out, inside)
-        up[IN] += max(inside, cut)
+        up[IN] += max(inside, cut - CUT_COST)
         up[CUT] += cut
-    state = [OUT] * n
+    state = [IN if n and value[0][IN] > value[0][OUT] else OUT] + [OUT] * (n - 1)
     for i in range(1, n):
         above, (out, inside, cut) = state[parents[i]], value[i]
         if above == OUT:
             state[i] = IN if inside > out else OUT
         elif above == IN:
-            state[i] = IN if inside >= cut else CUT
+            state[i] = IN if inside >= cut - CUT_COST else CUT
         else:
             state[i] = CUT
     return [s == IN for s in state]
@@ -294,7 +301,10 @@ def train(seed: int = 5, pages: int = TRAIN_PAGES) -> Model:
             if label < 0:
                 page.labels[i] = page.labels[page.parents[i]]
     scores = Scores.learn(made)
-    return Model(scores, fit(features(made, scores), np.array([y for p in made for y in p.labels], float)))
+    for page in made:
+        if rng.random() < NAMELESS:
+            page.tokens = [()] * len(page.tokens)
+    return Model(scores, fit(features(made, scores), np.array([y for p in made for y in p.labels], float), trees=TREES, depth=5))
 
 
 def labelled_page(rng: random.Random) -> str:
@@ -356,9 +366,9 @@ def labelled_page(rng: random.Random) -> str:
 
     def block() -> str:
         k = chance()
-        if k < 0.72:
+        if k < 0.7:
             return f"<p>{paragraph()}" + ("</p>" if chance() < 0.85 else "")
-        if k < 0.8:
+        if k < 0.78:
             t = pick(["h2", "h2", "h3", "h4"])
             return f"<{t}>{words(1, 8)}</{t}>"
         if k < 0.86:
@@ -375,6 +385,9 @@ def labelled_page(rng: random.Random) -> str:
         return "<table>" + "".join(f"<tr><td>{words(1, 3)}</td><td>{words(1, 3)}</td></tr>" for _ in range(rng.randint(2, 5))) + "</table>"
 
     blocks = [f"<h1>{paragraph() if chance() < 0.3 else words(1, 12)}</h1>"] * (chance() < 0.85) + [block() for _ in range(pick([rng.randint(1, 3), rng.randint(3, 10), rng.randint(8, 30)]))]
+    quote = f"<aside{named('pullquote quote highlight callout') if chance() < 0.7 else ''} data-in=1>{pick([words(6, 30), f'<p>{words(6, 30)}</p>', f'<blockquote>{words(6, 30)}</blockquote>'])}</aside>"
+    if chance() < 0.08:
+        blocks.insert(rng.randint(1, len(blocks)), quote)
     for extra in (advert, notice, form, sidebar, menu):
         if chance() < 0.15:
             blocks.insert(rng.randint(1, len(blocks)), extra())
@@ -383,14 +396,34 @@ def labelled_page(rng: random.Random) -> str:
         [f"<article data-in=1>{body}</article>"] * 5
         + [f"<main data-in=1>{body}</main>", f"<main><article data-in=1>{body}</article></main>", f'<div{named("content article post story entry main body text")} data-in=1>{body}</div>', f'<section{named("content article post story entry")} data-in=1>{body}</section>', f'<article{named("post article entry")} data-in=1>{body}</article>']
     )
+    layout = chance()
+    if layout < 0.09:  # one paragraph, or lines of text in no element
+        only = pick([f"<p>{words(4, 120)}</p>", f"<p>{words(20, 200)}</p>", words(5, 150), f"{words(3, 60)}<br>{words(3, 60)}"])
+        page = "<html data-in=0><head><title>t</title></head>{}</html>"
+        frame = pick([ROOT_IN + "{}", "<body data-in=1>{}</body>", page.format("<body data-in=1>{}</body>"), page.format("<body data-in=0><div><div data-in=1>{}</div></div></body>")])
+        return frame.format(only)
+    soup = "post entry hentry news category tag ads sponsored social share related header footer nav menu sidebar comment form widget author bio food travel top left right wide"
+    if layout < 0.15:
+        article = f"<div><div data-in=1>{body}</div></div>"
+    elif layout < 0.22:
+        article = f'<{pick(["div", "div", "section", "article"])} class="{pick(["post", "entry", "content", "text", "x1", "css-1a2b", "story", "col"])} {" ".join(pick(["", "tag-", "category-", "has-", "no-", "format-"]) + pick(soup.split()) for _ in range(rng.randint(1, 4)))}" data-in=1>{body}</div>'
+    elif layout < 0.27:
+        cells = [f"<td data-in=1>{body}</td>", f"<td data-in=0>{pick([menu, sidebar, advert])()}</td>"]
+        rng.shuffle(cells)
+        article = f"<table><tr>{''.join(cells)}</tr></table>"
+    elif layout < 0.4:
+        article = body  # in the body itself, which then is inside
+    inside = 1 if 0.27 <= layout < 0.4 else 0
     above = [header() for _ in range(chance() < 0.5)] + [menu() for _ in range(chance() < 0.85)] + [x() for x in (notice, advert, form) if chance() < 0.4]
     below = [x() for x in (sidebar, comments, advert, notice, form, menu) if chance() < 0.3] + [footer() for _ in range(chance() < 0.9)]
     rng.shuffle(above)
-    side = sidebar() if chance() < 0.25 else ""
+    side = sidebar() if chance() < (0.1 if inside else 0.25) else ""
     middle = pick([side + article, article + side])
-    if chance() < 0.3:
+    if chance() < 0.3 and not inside:
         middle = f'<div{pick(["", named("wrapper container page row layout")])}>{middle}</div>'
-    return f"<!DOCTYPE html><html data-in=0><head><title>{words(2, 8)}</title><style>p{{}}</style></head><body>{''.join(above)}{middle}{''.join(below)}" + pick(["</body></html>", "</body></html>", ""])
+    if inside and chance() < 0.2:
+        return f"{ROOT_IN}{''.join(above)}{middle}{''.join(below)}"
+    return f"<!DOCTYPE html><html data-in=0><head><title>{words(2, 8)}</title><style>p{{}}</style></head><body data-in={inside}>{''.join(above)}{middle}{''.join(below)}" + pick(["</body></html>", "</body></html>", ""])
 
 
 def extract(pages: DataFrame, model: Model, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
