@@ -1554,6 +1554,48 @@ def migration_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcome_count(migrate(spark, "composite", deals.unionByName(lenders)).current())
 
 
+def open_counting() -> Callable[[dict, int], tuple[int, str]]:
+    """States the totals of bulk requests; of parents divisible by 7 no record is created."""
+
+    def send(request: dict, attempt: int) -> tuple[int, str]:
+        if not request["bulk"]:
+            return 200, json.dumps({"data": {"application_id": "v2"}})
+        n_items = len(json.loads(json.loads(request["payload"])["api_request"])["record_create_list"])
+        good = n_items if int(request["sk"]) % 7 else 0
+        totals = dict(zip(TOTAL_FIELDS, (good, n_items - good, n_items), strict=True))
+        results = [{"statusCode": 200 if good else 500, "data": {"application_id": "v2"}}] * n_items
+        return 200, json.dumps({**totals, "api_response": json.dumps({"result": results})})
+
+    return send
+
+
+@query(
+    """
+    WITH deals AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN 3 ELSE 2 END AS n FROM orders)
+    SELECT count(*) * 7 AS requests, count(*) * 7 AS sent,
+           coalesce(sum(n) FILTER (WHERE o_orderkey % 7 <> 0), 0)::BIGINT AS stated_success,
+           coalesce(sum(n) FILTER (WHERE o_orderkey % 7 = 0), 0)::BIGINT AS stated_failure,
+           sum(n)::BIGINT AS stated_records
+    FROM deals
+    """
+)
+def batch_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of a batch of orders with fees and participants, observed while its steps are written."""
+    deals = changes(
+        table(spark, sf_dir, "orders"),
+        "o_orderkey",
+        image(
+            "deal",
+            n("o_orderkey"),
+            fees=many(m(fee_id=s("'a'"), amount=n("o_totalprice")), m(fee_id=s("'b'"), amount=n("1"))),
+            participants=f"if(o_orderstatus = 'O', {many(m(participant_id=s('o_custkey')))}, NULL)",
+        ),
+    )
+    store = LedgerStore(spark, new_scratch_path(spark, "totals"))
+    totals = run_batch(deals, 0, store, open_counting, CONFIG).totals
+    return spark.createDataFrame([tuple(totals.values())], ", ".join(f"{name} long" for name in totals))
+
+
 CONTACT_SQL = (
     MERGE_SQL.replace("CASE WHEN value >= 10 THEN value END", "CASE WHEN value >= 10 THEN props END")
     + """

@@ -57,6 +57,22 @@ def mark(spark: SparkSession, path: str) -> None:
     fs.create(jvm_path, True).close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    jvm_path, fs = _path(spark, path)
+    out = fs.create(jvm_path, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    jvm_path, fs = _path(spark, path)
+    stream = fs.open(jvm_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder; empty when there is none."""
     jvm_path, fs = _path(spark, path)
@@ -70,6 +86,11 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(jvm_path, True)
 
 
+def write_table(rows: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+
+
 def write_once(rows: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write a table unless a finished one is there already, and read it back.
 
@@ -79,7 +100,6 @@ def write_once(rows: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -
     """
     spark = rows.sparkSession
     if not exists(spark, f"{path}.done"):
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+        write_table(rows, path, partition_by)
         mark(spark, f"{path}.done")
     return spark.read.schema(rows.schema).parquet(path)
