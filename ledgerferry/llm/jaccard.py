@@ -32,20 +32,22 @@ import heapq
 import math
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ledgerferry.llm.common import cut, slices, small_batches, tidy
+from ledgerferry.llm.common import cut, slices, small_batches, tidy, worker_held
 from ledgerferry.llm.components import components
 from ledgerferry.llm.covertree import Forest
 
 WORDS = 5
+#: Counters of a task are reported before one of them could run over; shingles are counted so many at a time.
+FULL, COUNTED = 60_000, 4_096
 #: Counters of the sketch (one byte each when broadcast), the count at which a task reports one of
 #: them, the sum from which a shingle counts as frequent, and the ranges that add them up.
 SKETCH_BITS, REPORT, FREQUENT, RANGES = 24, 3, 8, 64
@@ -67,11 +69,28 @@ SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 VALUE = np.arange(1, 257, dtype=np.uint64) + np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), 32, 0).astype(np.uint64)
 
 
-@lru_cache(maxsize=1)
 def _powers() -> tuple[np.ndarray, np.ndarray]:
     """Powers of the multiplier and of its inverse modulo 2 ** 64."""
-    inverse = np.uint64(pow(int(_P), -1, 1 << 64))
-    return tuple(np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(PIECE, x, np.uint64))]) for x in (_P, inverse))
+
+    def make() -> tuple[np.ndarray, np.ndarray]:
+        inverse = np.uint64(pow(int(_P), -1, 1 << 64))
+        return tuple(np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(PIECE, x, np.uint64))]) for x in (_P, inverse))
+
+    return worker_held(__name__, "powers", make)
+
+
+class Met:
+    """Numbers met before, as far as a table of fixed size holds them: one that shares a place takes it over."""
+
+    def __init__(self, bits: int = 20):
+        self.at, self.mask = np.zeros(1 << bits, np.int64), (1 << bits) - 1
+
+    def before(self, number: int) -> bool:
+        place = number & self.mask
+        if self.at[place] == number:
+            return True
+        self.at[place] = number
+        return False
 
 
 def _hashed(data: bytes) -> np.ndarray:
@@ -153,28 +172,34 @@ def first_pass(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows (id, n, class, bits) of documents, and rows (range, bucket, seen) of packed counters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1 << SKETCH_BITS, np.int32)
-        known: set[int] = set()
+        seen = np.zeros(1 << SKETCH_BITS, np.uint16)
+        known = Met()
+
+        def report() -> Iterator[pa.RecordBatch]:
+            often = np.flatnonzero(seen >= REPORT)
+            cuts = np.searchsorted(often, np.arange(RANGES + 1) << (SKETCH_BITS - 6))
+            for k in range(RANGES):
+                own = often[cuts[k] : cuts[k + 1]]
+                if len(own):
+                    none = [pa.nulls(1, t) for t in (id_type, pa.int64(), pa.int64(), pa.binary())]
+                    packed = [pa.array([x.astype("<u4").tobytes()], pa.binary()) for x in (own, seen[own])]
+                    yield pa.record_batch([*none, pa.array([k], pa.int32()), *packed], names)
+
         for batch in slices(batches):
             sets = [shingles(t) for t in batch.column(1).to_pylist()]
             classes = [class_of(s) if len(s) else None for s in sets]
             for own, name in zip(sets, classes, strict=True):
-                if name is not None and name not in known:  # copies are counted once
-                    known.add(name)
-                    np.add.at(seen, (own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-            if len(known) > 1_000_000:
-                known.clear()
+                if name is not None and not known.before(name):  # copies are counted once
+                    for start in range(0, len(own), COUNTED):
+                        at = (own[start : start + COUNTED] >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+                        np.add.at(seen, at, 1)
+                        if seen[at].max() >= FULL:  # before a counter runs over
+                            yield from report()
+                            seen[:] = 0
             bits = [bitmap(s) if len(s) else None for s in sets]
             none = [pa.nulls(len(sets), t) for t in (pa.int32(), pa.binary(), pa.binary())]
             yield pa.record_batch([batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array(classes, pa.int64()), pa.array(bits, pa.binary()), *none], names)
-        often = np.flatnonzero(seen >= REPORT)
-        cuts = np.searchsorted(often, np.arange(RANGES + 1) << (SKETCH_BITS - 6))
-        for k in range(RANGES):
-            own = often[cuts[k] : cuts[k + 1]]
-            if len(own):
-                none = [pa.nulls(1, t) for t in (id_type, pa.int64(), pa.int64(), pa.binary())]
-                packed = [pa.array([x.tobytes()], pa.binary()) for x in (own.astype("<u4"), seen[own].astype("<u4"))]
-                yield pa.record_batch([*none, pa.array([k], pa.int32()), *packed], names)
+        yield from report()
 
     names = ["id", "n", "class", "bits", "range", "bucket", "seen"]
     kind = docs.schema[id_col].dataType.simpleString()
@@ -200,16 +225,15 @@ def levels(first: DataFrame) -> np.ndarray:
     return out
 
 
-def postings(docs: DataFrame, text_col: str, level: np.ndarray, shards: int) -> DataFrame:
+def postings(docs: DataFrame, text_col: str, held: Broadcast, shards: int) -> DataFrame:
     """Rows (shard, hash, class, size): packed postings of the shingles on each document's shortest lists.
 
     size is twice the set's size, plus one if the shingle is also among the n - ceil(8 n / 9) + 1
     rarest, where a link with a set that is no smaller has to show.
     """
-    held = docs.sparkSession.sparkContext.broadcast(level)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level, known, parts, total = held.value, set(), [], 0
+        level, known, parts, total = held.value, Met(), [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             h, c, s = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -224,9 +248,8 @@ def postings(docs: DataFrame, text_col: str, level: np.ndarray, shards: int) ->
             for text in batch.column(0).to_pylist():
                 own = shingles(text)
                 n = len(own)
-                if not n or (name := class_of(own)) in known:
+                if not n or known.before(name := class_of(own)):
                     continue
-                known.add(name)
                 lead = n - -(-8 * n // 10) + 1
                 rank = level[(own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                 order = np.lexsort((own, rank)) if rank.any() else np.arange(n)
@@ -236,8 +259,6 @@ def postings(docs: DataFrame, text_col: str, level: np.ndarray, shards: int) ->
             if total >= FLUSH:
                 yield from flush()
                 parts, total = [], 0
-            if len(known) > 1_000_000:
-                known.clear()
         if parts:
             yield from flush()
 
@@ -410,7 +431,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     total = rows.agg(F.sum("n")).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = max(4 * partitions, -(-total * POSTING_BYTES // (5 * SHARD_BYTES)))
-    edges = cut(candidate_edges(postings(named, "text", levels(first), shards)), "candidates")
+    ranks = spark.sparkContext.broadcast(levels(first))
+    edges = cut(candidate_edges(postings(named, "text", ranks, shards)), "candidates")
+    ranks.destroy()
     # A class is known by its least document from here on.
     known = rows.where(F.col("class").isNotNull() & F.col("id").isNotNull())
     classes = known.groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits"))
