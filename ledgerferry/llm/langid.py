@@ -28,14 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerferry.llm.common import WORD, bucket, release, slices, small_batches, tidy
-from ledgerferry.llm.wordfeatures import ROWS, Adam, WordTable, padded_features, row_gradient, word_features
+from ledgerferry.llm.common import WORD, bucket, release, slices, small_batches, tidy, worker_held
+from ledgerferry.llm.wordfeatures import ROWS, Adam, Ragged, WordTable, word_features
 
 #: Bounds of the training sample, and the shape of its sequences.
 TRAIN_DOCS = 300
 SEQUENCE, BATCH, STEPS = 40, 96, 160
 PIECE_WORDS = (3, 20)
-FEATURES = 48
 #: A word of the lexicon was seen this often, and in this share in one language.
 LEXICON_COUNT, LEXICON_SHARE = 3, 0.9
 SEGMENT = 64
@@ -112,9 +111,9 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model | None:
         place = {w: i for i, w in enumerate(own)}
         at = np.array([place[w] for w in flat]).reshape(BATCH, SEQUENCE)
         gold = np.array([tags for _, tags in made])
-        rows_of = padded_features(own, FEATURES)
+        features = Ragged.of(own)
         known = np.array([lexicon.get(w, k) for w in own])
-        e = (p["w"][rows_of].sum(1) + p["lex"][known])[at]
+        e = (p["w"][features.whole] + features.sums(p["w"]) + p["lex"][known])[at]
         mask = np.ones((BATCH, SEQUENCE), bool)
         marginals, moved = _posteriors(np.exp(e - e.max(2, keepdims=True)).astype(np.float64), mask, np.exp(p["a"].astype(np.float64)), pairs=True)
         wrong = marginals - np.eye(k)[gold]
@@ -124,8 +123,12 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model | None:
         np.add.at(lex, known, by_word)
         lex[k] = 0  # words outside the lexicon
         moves = moved - np.add.reduce(np.eye(k)[gold[:, :-1]][..., :, None] * np.eye(k)[gold[:, 1:]][..., None, :], axis=(0, 1))
-        unique, g = row_gradient(rows_of, by_word.astype(np.float32))
-        adam.step({"w": (unique, g / BATCH + 1e-4 * p["w"][unique]), "lex": (lex / BATCH).astype(np.float32), "a": (moves / BATCH + 1e-3 * p["a"]).astype(np.float32)})
+        unique, g = features.gradient(by_word.astype(np.float32))
+        both = np.union1d(unique, features.whole)
+        total_g = np.zeros((len(both), k), np.float32)
+        total_g[np.searchsorted(both, unique)] = g
+        np.add.at(total_g, np.searchsorted(both, features.whole), by_word.astype(np.float32))
+        adam.step({"w": (both, total_g / BATCH + 1e-4 * p["w"][both]), "lex": (lex / BATCH).astype(np.float32), "a": (moves / BATCH + 1e-3 * p["a"]).astype(np.float32)})
     return Model(labels, p["w"], lexicon, p["lex"], p["a"])
 
 
@@ -193,22 +196,15 @@ def marginals(e: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> np.ndarr
     return _posteriors(cube, mask, a, start, end)[mask]
 
 
-#: Of each worker: the word table of the model it last used.
-_tables: dict[str, WordTable] = {}
-
-
 def _labelled(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[tuple]:
     """For slices of rows: ids, lists of words, lengths, and marginals of all their words."""
-    if model is not None and model.key not in _tables:
-        _tables.clear()
-        _tables[model.key] = WordTable(model.scores, len(model.labels))
     for batch in slices(batches):
         texts = [WORD.findall((t or "").lower()) for t in batch.column(1).to_pylist()]
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         if model is None or not lengths.sum():
             yield batch.column(0), texts, lengths, np.zeros((0, 0))
             continue
-        table = _tables[model.key]
+        table = worker_held(__name__, model.key, lambda: WordTable(model.scores, len(model.labels)))
         rows = table.look_up([w for t in texts for w in t])
         yield batch.column(0), texts, lengths, marginals(table.rows[rows], lengths, model.moves)
 

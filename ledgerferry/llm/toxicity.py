@@ -25,15 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerferry.llm.common import WORD, bounded_sample, bucket, release, sigmoid, slices, small_batches, tidy
-from ledgerferry.llm.wordfeatures import ROWS, Adam, WordTable, padded_features, row_gradient, word_features
+from ledgerferry.llm.common import WORD, bounded_sample, bucket, release, sigmoid, slices, small_batches, tidy, worker_held
+from ledgerferry.llm.wordfeatures import ROWS, Adam, Ragged, WordTable, word_features
 
 WINDOW, STRIDE = 32, 16
 WORD_DIM, CHAR_DIM, HIDDEN = 4, 8, 8
 #: Bounds of the training sample, and the course of training.
 TRAIN_TOXIC, TRAIN_CLEAN = 800, 1_600
 BATCH, ROUNDS, STEPS = 128, 4, 100
-FEATURES = 48
 HELD_OUT_MOD, HELD_OUT = 5, 0
 #: From this score on a text counts as toxic.
 LIMIT = 0.5
@@ -91,9 +90,12 @@ class Network:
         """Word and character embeddings of words, from their features (the word itself first)."""
         return np.concatenate([self.p["word"][features[:, 0]], self.p["char"][features[:, 1:]].sum(1) / 8], 1)
 
-    def all_inputs(self, features: np.ndarray) -> np.ndarray:
+    def inputs_of(self, words: Ragged) -> np.ndarray:
+        return np.concatenate([self.p["word"][words.whole], words.sums(self.p["char"]) / 8], 1)
+
+    def all_inputs(self, words: Ragged) -> np.ndarray:
         """The same for a whole vocabulary, in pieces: the embeddings of all features are large."""
-        return np.concatenate([self.inputs(features[s : s + CHUNK]) for s in range(0, len(features), CHUNK)])
+        return np.concatenate([self.inputs_of(words.take(np.arange(s, min(s + CHUNK, len(words))))) for s in range(0, len(words), CHUNK)])
 
     def gates_of(self, x: np.ndarray) -> np.ndarray:
         """What inputs add to the gates of both directions."""
@@ -184,11 +186,11 @@ class Network:
         return out
 
 
-def log_odds(features: np.ndarray, docs: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+def log_odds(features: Ragged, docs: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     """Of each feature row: log of its share of toxic over its share of clean documents."""
     counts = np.zeros((2, ROWS))
     for words, label in zip(docs, labels, strict=True):
-        counts[label, np.unique(features[words])] += 1
+        counts[label, features.take(np.unique(words)).rows()] += 1
     n = np.bincount(labels, minlength=2)
     odds = np.log((counts[1] + 0.5) / (n[1] + 1)) - np.log((counts[0] + 0.5) / (n[0] + 1))
     odds[(counts.sum(0) < 3)] = 0
@@ -208,7 +210,7 @@ def train(rows: list[tuple[str, int]], seed: int = 11) -> Network | None:
     labels = np.array(marks, np.int64)
     if len(set(marks)) < 2:
         return None
-    features = padded_features(list(place), FEATURES)
+    features = Ragged.of(list(place))
     del place
     net, rng = Network.fresh(log_odds(features, docs, labels), seed), np.random.default_rng(seed)
     adam = Adam(net.p, 0.01)
@@ -234,8 +236,8 @@ def train(rows: list[tuple[str, int]], seed: int = 11) -> Network | None:
             mask = (np.arange(WINDOW)[:, None] < sizes[own]).astype(np.float32)
             unique, spot = np.unique(flat[at], return_inverse=True)
             spot = spot.reshape(at.shape)
-            used = features[unique]
-            x = net.inputs(used)
+            used = features.take(unique)
+            x = net.inputs_of(used)
             side = np.concatenate([net.p["xf"], net.p["xb"]], 1)
             g = (x @ side + np.concatenate([net.p["bf"], net.p["bb"]]))[spot]
             keep: dict = {}
@@ -246,14 +248,14 @@ def train(rows: list[tuple[str, int]], seed: int = 11) -> Network | None:
             np.add.at(by_word, spot.ravel(), dg.reshape(-1, 6 * HIDDEN))
             dside, dx = x.T @ by_word, by_word @ side.T
             grads["xf"], grads["xb"] = dside[:, : 3 * HIDDEN], dside[:, 3 * HIDDEN :]
-            grads["word"] = (used[:, 0], dx[:, :WORD_DIM])
-            grads["char"] = row_gradient(used[:, 1:], dx[:, WORD_DIM:] / 8)
+            grads["word"] = (used.whole, dx[:, :WORD_DIM])
+            grads["char"] = used.gradient(dx[:, WORD_DIM:] / 8)
             adam.step(grads)
         logits = np.concatenate([_logits(net, features, docs[s : s + GROUP]) for s in range(0, len(docs), GROUP)])
     return Network(net.p)
 
 
-def _logits(net: Network, features: np.ndarray, docs: list[np.ndarray]) -> np.ndarray:
+def _logits(net: Network, features: Ragged, docs: list[np.ndarray]) -> np.ndarray:
     """Logits of all windows of some training texts."""
     unique, rows = np.unique(np.concatenate(docs), return_inverse=True)
     lengths = np.array(list(map(len, docs)))
@@ -261,11 +263,7 @@ def _logits(net: Network, features: np.ndarray, docs: list[np.ndarray]) -> np.nd
     owner = np.repeat(np.arange(len(docs)), list(map(len, spots)))
     starts = np.concatenate(spots)
     base = np.cumsum(lengths) - lengths
-    return net.score_windows(net.gates_of(net.all_inputs(features[unique])), rows, base[owner] + starts, np.minimum(WINDOW, lengths[owner] - starts))
-
-
-#: Of each worker: the word table of the network it last used.
-_tables: dict[str, WordTable] = {}
+    return net.score_windows(net.gates_of(net.all_inputs(features.take(unique))), rows, base[owner] + starts, np.minimum(WINDOW, lengths[owner] - starts))
 
 
 def _worst(network: Network | None, column: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -277,10 +275,7 @@ def _worst(network: Network | None, column: list) -> tuple[np.ndarray, np.ndarra
     count = np.fromiter(map(len, spots), np.int64, len(texts))
     if network is None or not count.sum():
         return best, count, spot
-    if network.key not in _tables:
-        _tables.clear()
-        _tables[network.key] = WordTable(network.gates, 6 * HIDDEN)
-    words = _tables[network.key]
+    words = worker_held(__name__, network.key, lambda: WordTable(network.gates, 6 * HIDDEN))
     rows = words.look_up([w for t in texts for w in t])
     base = np.cumsum(lengths) - lengths
     owner = np.repeat(np.arange(len(texts)), count)

@@ -105,21 +105,45 @@ class Adam:
             self.p[k][rows] -= rate * self.m[k][rows] / (np.sqrt(self.v[k][rows]) + 1e-8)
 
 
-def row_gradient(rows: np.ndarray, gradient: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums by row of the gradients of features: rows (n, f), gradient (n, d), each for all f."""
-    flat = rows.ravel()
-    kept = flat > 0
-    unique, place = np.unique(flat[kept], return_inverse=True)
-    spread = np.repeat(gradient, rows.shape[1], axis=0)[kept]
-    out = np.stack([np.bincount(place, spread[:, k], len(unique)) for k in range(gradient.shape[1])], 1)
-    return unique, out.astype(np.float32)
-
-
-def padded_features(words: list[str], width: int) -> np.ndarray:
-    """Features of all words in one matrix, at most `width` columns of each (training only)."""
-    out = np.zeros((len(words), width), np.int32)
-    place = {w: i for i, w in enumerate(words)}
-    for group in by_width(words):
-        rows = word_features(group)[:, :width]
-        out[[place[w] for w in group], : rows.shape[1]] = rows
-    return out
+class Ragged:
+    """All features of words, of any number each: the word itself, and the rest one after the other."""
+
+    def __init__(self, whole: np.ndarray, rest: np.ndarray, counts: np.ndarray):
+        self.whole, self.rest, self.counts = whole, rest, counts
+        self.starts = np.cumsum(counts) - counts
+
+    @classmethod
+    def of(cls, words: list[str]) -> Ragged:
+        place = {w: i for i, w in enumerate(words)}
+        whole, counts = np.zeros(len(words), np.int32), np.zeros(len(words), np.int64)
+        parts, owners = [], []
+        for group in by_width(words):
+            rows, own = word_features(group), np.array([place[w] for w in group])
+            there = rows[:, 1:] > 0
+            whole[own], counts[own] = rows[:, 0], there.sum(1)
+            parts.append(rows[:, 1:][there])
+            owners.append(np.repeat(own, there.sum(1)))
+        order = np.argsort(np.concatenate(owners), kind="stable") if owners else []
+        return cls(whole, np.concatenate(parts)[order] if parts else np.zeros(0, np.int32), counts)
+
+    def __len__(self) -> int:
+        return len(self.whole)
+
+    def take(self, words: np.ndarray) -> Ragged:
+        counts = self.counts[words]
+        first = np.repeat(self.starts[words] - (np.cumsum(counts) - counts), counts)
+        return Ragged(self.whole[words], self.rest[first + np.arange(len(first))], counts)
+
+    def rows(self) -> np.ndarray:
+        return np.unique(np.concatenate([self.whole, self.rest]))
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """Of each word: the sum of its features' values, the word itself left out (every word has others)."""
+        return np.add.reduceat(values[self.rest], self.starts, axis=0)
+
+    def gradient(self, by_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sums by feature row of the gradients of `sums`."""
+        unique, place = np.unique(self.rest, return_inverse=True)
+        spread = np.repeat(by_word, self.counts, axis=0)
+        out = np.stack([np.bincount(place, spread[:, k], len(unique)) for k in range(by_word.shape[1])], 1)
+        return unique, out.astype(np.float32)

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from ledgerferry.llm import toxicity
-from ledgerferry.llm.wordfeatures import by_width, padded_features, word_features
+from ledgerferry.llm.wordfeatures import ROWS, Ragged, by_width, word_features
 from tests.llm.support import AWKWARD, documents, no_documents
 
 CALM = ["river", "stone", "walk", "green", "table", "window", "paper", "morning", "quiet", "garden", "reader", "letter"]
@@ -103,4 +103,12 @@ def test_features_do_not_depend_on_the_company_of_a_word():
     for group in by_width(words):
         for w, row in zip(group, word_features(group), strict=True):
             assert sorted(set(row.tolist()) - {0}) == alone[w]
-    assert padded_features(words, 8).shape == (5, 8)
+    ragged, table = Ragged.of(words), np.random.default_rng(1).normal(size=(ROWS, 3))
+    table[0] = 0
+    for i, w in enumerate(words):  # a long word trains on all its features, too
+        row = word_features([w])[0]
+        assert ragged.whole[i] == row[0] and np.allclose(ragged.sums(table)[i], table[row[1:]].sum(0))
+        one = ragged.take(np.array([i]))
+        assert np.allclose(one.sums(table), ragged.sums(table)[i]) and set(one.rows()) == set(row) - {0}
+    rows, g = ragged.take(np.array([3, 0])).gradient(np.ones((2, 2)))
+    assert g.sum() == 2 * ragged.counts[[3, 0]].sum() and (ragged.counts > 48).any()
