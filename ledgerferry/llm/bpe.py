@@ -7,7 +7,10 @@ within one token's length before it, and the transducer keeps these only: the me
 sufficient lookahead is the length of its longest token. All live prefixes descend from some
 earlier one; what lies before their common ancestor cannot change any more and is emitted.
 
-Words recur, so those up to MEMO_SYMBOLS long are remembered, in a table of bounded size.
+An automaton over the tokens' symbols tells which tokens end at a symbol, so one state stands for the
+symbols before it. Words recur, so those up to
+MEMO_LETTERS long are remembered, in two tables of bounded size: a full one is put away and its words
+come back as they are met again. Every other word goes through the transducer.
 Decoding is a state machine from token bytes to text that takes ids in blocks of any size.
 
 Defined results: a null text counts as empty and has no tokens; rows are independent, so repeated
@@ -28,15 +31,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerferry.llm.common import slices, small_batches, tidy
+from ledgerferry.llm.common import slices, small_batches, tidy, worker_held
 
-MEMO_SYMBOLS = 64
-MEMO_WORDS = 150_000
+#: The longest words that are remembered, and how many in each of the two tables.
+MEMO_LETTERS, MEMO_WORDS = 64, 120_000
+#: Steps of the automaton that are kept once they have been worked out.
+STEPS = 300_000
 #: A text is encoded in pieces of about so many characters, cut at white space.
 PIECE = 1 << 16
 END = "</w>"
 SHIFT = 32
-MASK = (1 << SHIFT) - 1
 
 
 def byte_letters() -> list[str]:
@@ -68,8 +72,10 @@ class Tokenizer:
         letters = byte_letters()
         self.inner = [self.vocab[x] for x in letters]
         self.last = [self.vocab[x + END] for x in letters]
-        self.bytes_of = {i: bytes(letters.index(c) for c in t.removesuffix(END)) if i not in self.special.values() else t.encode() for i, t in self.tokens.items()}
-        self.ends_word = {i for i, t in self.tokens.items() if t.endswith(END) and t not in self.special}
+        byte_of = {c: b for b, c in enumerate(letters)}
+        #: An id's bytes in decoded text: the words it spells, or the token's own text as the library shows it.
+        self.spelled = {i: t.encode() if t in self.special else bytes(byte_of[c] for c in t.removesuffix(END)) + b" " * t.endswith(END) for i, t in self.tokens.items()}
+        self.shown = {i: t.encode() + b" " for i, t in self.tokens.items()}
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(pattern)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
@@ -79,20 +85,60 @@ class Tokenizer:
         #: The merge list's sufficient lookahead, in symbols.
         self.lookahead = max(symbols.values())
         self.symbols = symbols
-        self.by_symbols: dict[tuple[int, ...], int] = {}
-        for token in symbols:
-            self.by_symbols[self._expand(token)] = token
-        self.lengths = sorted({n for n in symbols.values()}, reverse=True)
+        self._automaton()
+        self.fits = lru_cache(maxsize=1 << 17)(self._fits)
         self.memo = Memo(self)
 
+    def _automaton(self) -> None:
+        """States are the beginnings of tokens; from state << SHIFT | symbol to the longest one that ends there."""
+        self.step: dict[int, int] = {}
+        token_at, by_depth = array("i", [-1]), {0: [(0, 0, 0)]}
+        for token in self.symbols:
+            state = 0
+            for depth, symbol in enumerate(self._expand(token), 1):
+                key = state << SHIFT | symbol
+                after = self.step.get(key)
+                if after is None:
+                    after = self.step[key] = len(token_at)
+                    token_at.append(-1)
+                    by_depth.setdefault(depth, []).append((state, symbol, after))
+                state = after
+            token_at[state] = token
+        # Of each state: the longest other beginning that it ends with, and the tokens that end there, longest first.
+        self.shorter = array("i", bytes(4 * len(token_at)))
+        self.ending: list[tuple[tuple[int, int], ...]] = [()] * len(token_at)
+        shared: dict[tuple, tuple] = {}
+        for depth in range(1, len(by_depth)):
+            for state, symbol, after in by_depth[depth]:
+                self.shorter[after] = self._next(self.shorter[state], symbol) if state else 0
+                own = ((token_at[after], depth),) if token_at[after] >= 0 else ()
+                ending = own + self.ending[self.shorter[after]]
+                self.ending[after] = shared.setdefault(ending, ending)
+
+    def _next(self, state: int, symbol: int) -> int:
+        """The state after a symbol, as far as tokens begin so."""
+        step, at = self.step, state
+        while (after := step.get(at << SHIFT | symbol)) is None:
+            if not at:
+                after = 0
+                break
+            at = self.shorter[at]
+        return after
+
+    def look_up(self, state: int, symbol: int) -> int:
+        """The same for a state from which no token goes on so; what is found is kept."""
+        after = self._next(state, symbol)
+        if len(self.step) < STEPS:
+            self.step[state << SHIFT | symbol] = after
+        return after
+
     def _expand(self, token: int) -> tuple[int, ...]:
         if token not in self.parts:
             return (token,)
         a, b, _ = self.parts[token]
         return self._expand(a) + self._expand(b)
 
-    @lru_cache(maxsize=1 << 18)  # noqa: B019 one tokenizer lives as long as its worker
-    def fits(self, left: int, right: int) -> bool:
+    def _fits(self, left: int, right: int) -> bool:
         """Do the merges leave these two tokens, side by side, as they are?
 
         The tokens are taken apart again, youngest merge first. A merge across the border breaks
@@ -111,50 +157,39 @@ class Tokenizer:
             else:
                 limit, right = rank_right + 1, self.parts[right][0]
 
-    def merge(self, ids: list[int]) -> list[int]:
-        """The merges applied by rank, leftmost first, for a short word."""
-        get, none = self.merges.get, 1 << 62
-        found = [get(pair, none) for pair in zip(ids, ids[1:])]
-        while found and (best := min(found)) < none:
-            i = found.index(best)
-            ids[i] = best & MASK
-            del ids[i + 1], found[i]
-            if i:
-                found[i - 1] = get((ids[i - 1], ids[i]), none)
-            if i < len(found):
-                found[i] = get((ids[i], ids[i + 1]), none)
-        return ids
-
 
 class Transducer:
     """Tokens of one word, symbol by symbol; emit(...) gets each as soon as it is stable."""
 
     def __init__(self, tokenizer: Tokenizer, emit):
         self.t, self.emit = tokenizer, emit
-        self.window: list[int] = []  # the last symbols, as many as the lookahead
+        self.state = 0  # of the automaton: the last symbols, as far as a token could hold them
         self.at = 0  # symbols read
         # For each live prefix length: (last token, length of the prefix before it).
         self.links: dict[int, tuple[int, int]] = {}
         self.done = 0  # the prefix whose tokens are out
 
-    def push(self, symbol: int) -> None:
-        t = self.t
-        self.window.append(symbol)
-        if len(self.window) > t.lookahead:
-            del self.window[0]
-        self.at += 1
-        for n in t.lengths:
-            if n > len(self.window):
-                continue
-            before = self.at - n
-            if before and before not in self.links:
-                continue
-            token = t.by_symbols.get(tuple(self.window[-n:]))
-            if token is not None and (before == 0 or t.fits(self.links[before][0], token)):
-                self.links[self.at] = (token, before)
-                break
-        if self.at % t.lookahead == 0:
-            self._settle()
+    def push(self, symbols: list[int]) -> None:
+        t, links, state, at = self.t, self.links, self.state, self.at
+        step, look_up, ending, fits, lookahead = t.step.get, t.look_up, t.ending, t.fits, t.lookahead
+        for symbol in symbols:
+            at += 1
+            after = step(state << SHIFT | symbol)
+            state = look_up(state, symbol) if after is None else after
+            for token, length in ending[state]:
+                before = at - length
+                if not before:
+                    links[at] = (token, 0)
+                    break
+                link = links.get(before)
+                if link and fits(link[0], token):
+                    links[at] = (token, before)
+                    break
+            if at % lookahead == 0:
+                self.state, self.at = state, at
+                self._settle()
+                links = self.links
+        self.state, self.at = state, at
 
     def _path(self, end: int) -> list[tuple[int, int]]:
         """(end, token) back from a prefix to what is already out."""
@@ -201,16 +236,19 @@ def pieces(text: str) -> Iterator[str]:
 
 
 class Memo(dict):
-    """Ids of words met before, as bytes."""
+    """Ids of words met lately, as bytes."""
 
     def __init__(self, t: Tokenizer):
         super().__init__()
-        self.t = t
+        self.t, self.old = t, {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = word_ids(self.t, word)
-        if len(word) <= MEMO_SYMBOLS:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = word_ids(self.t, word)
+        if len(word) <= MEMO_LETTERS:
             if len(self) >= MEMO_WORDS:
+                self.old = dict(self)
                 self.clear()
             self[word] = ids
         return ids
@@ -218,13 +256,14 @@ class Memo(dict):
 
 def word_ids(t: Tokenizer, word: str) -> bytes:
     raw = word.encode("utf-8", "replace")
-    if len(raw) <= MEMO_SYMBOLS:
-        return array("I", t.merge([t.inner[b] for b in raw[:-1]] + [t.last[raw[-1]]])).tobytes()
     out = array("I")
     run = Transducer(t, out.append)
-    for b in raw[:-1]:
-        run.push(t.inner[b])
-    run.push(t.last[raw[-1]])
+    inner, end = t.inner, len(raw) - 1
+    for start in range(0, len(raw), PIECE):
+        symbols = [inner[b] for b in raw[start : start + PIECE]]
+        if start + PIECE > end:
+            symbols[-1] = t.last[raw[end]]
+        run.push(symbols)
     run.finish()
     return out.tobytes()
 
@@ -241,42 +280,59 @@ def encode_blocks(t: Tokenizer, text: str) -> Iterator[bytes]:
 
 
 class Decoder:
-    """Ids to text in blocks. `spaced`: the library's form, token texts joined by spaces;
-    else the words themselves, bytes put together to characters across token and block borders."""
+    """A state machine from ids to text, in blocks: each id's bytes go through an incremental UTF-8
+    reader, whose state carries characters over token and block borders; white space is held back until
+    more follows. `spaced`: the library's form, the tokens' own texts, each with white space after it;
+    else the words themselves, white space after tokens that end one."""
 
     def __init__(self, t: Tokenizer, spaced: bool):
-        self.t, self.spaced, self.first = t, spaced, True
+        self.bytes_of = t.shown if spaced else t.spelled
         self.utf8 = codecs.getincrementaldecoder("utf-8")("replace")
+        self.space = False
 
     def feed(self, ids: list[int]) -> str:
-        if self.spaced:
-            text = " ".join([self.t.tokens[i] for i in ids])
-            text, self.first = (text if self.first or not ids else " " + text), self.first and not ids
-            return text
-        ends, of = self.t.ends_word, self.t.bytes_of
-        return self.utf8.decode(b"".join([of[i] + b" " if i in ends else of[i] for i in ids]))
+        of = self.bytes_of
+        text = self.utf8.decode(b"".join([of[i] for i in ids]))
+        if not text:
+            return ""
+        if self.space:
+            text = " " + text
+        self.space = text[-1] == " "
+        return text[:-1] if self.space else text
 
     def finish(self) -> str:
-        return "" if self.spaced else self.utf8.decode(b"", True).rstrip(" ")
+        return self.utf8.decode(b"", True)
+
+
+def decode_text(t: Tokenizer, ids: bytes, spaced: bool) -> str:
+    """The text of a row's ids, block by block."""
+    decoder, numbers = Decoder(t, spaced), array("I", ids)
+    return "".join([decoder.feed(numbers[i : i + PIECE].tolist()) for i in range(0, len(numbers), PIECE)]) + decoder.finish()
 
 
-@lru_cache(maxsize=2)
 def tokenizer(path: str) -> Tokenizer:
     """One per worker."""
-    return Tokenizer(path)
+    return worker_held(__name__, path, lambda: Tokenizer(path))
+
 
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """id and ids, the little-endian unsigned 32-bit numbers of a text's tokens.
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and ids, the little-endian unsigned 32-bit numbers of a text's tokens."""
+    With `decoded`, the text that the ids decode to in the library's form as well: one pass and one
+    worker for both.
+    """
+    names = ["id", "ids", "text"][: 2 + decoded]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path)
         for batch in slices(batches):
             ids = [b"".join(encode_blocks(t, text or "")) for text in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
+            texts = [pa.array([decode_text(t, x, True) for x in ids], pa.string())] if decoded else []
+            yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary()), *texts], names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), f"id {kind}, ids binary")
+    named = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return named.mapInArrow(tidy(run), f"id {kind}, ids binary" + ", text string" * decoded)
 
 
 def decode(encoded: DataFrame, path: str, spaced: bool = False, keep_ids: bool = False) -> DataFrame:
@@ -285,11 +341,7 @@ def decode(encoded: DataFrame, path: str, spaced: bool = False, keep_ids: bool =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path)
         for batch in slices(batches):
-            texts = []
-            for ids in batch.column(1).to_pylist():
-                d = Decoder(t, spaced)
-                numbers = array("I", ids or b"")
-                texts.append("".join([d.feed(numbers[i : i + PIECE].tolist()) for i in range(0, len(numbers), PIECE)]) + d.finish())
+            texts = [decode_text(t, ids or b"", spaced) for ids in batch.column(1).to_pylist()]
             columns = [batch.column(0), pa.array(texts, pa.string())]
             yield pa.record_batch([*columns, batch.column(1)] if keep_ids else columns, ["id", "text", "ids"][: 2 + keep_ids])
 

@@ -54,9 +54,7 @@ def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(TOKENIZER)
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), path)
-    return bpe.digest(bpe.decode(encoded, path, spaced=True, keep_ids=True))
+    return bpe.digest(bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), decoded=True))
 
 
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
