@@ -49,9 +49,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and digests of them and of what they decode to."""
-    path = public_tokenizers.path(TOKENIZER)
-    decoded = bpe.decode(bpe.encode(docs, path), path, spaced=True, keep_ids=True)
-    return bpe.digest(decoded, keep_ids=True)
+    return bpe.digest(bpe.encode(docs, public_tokenizers.path(TOKENIZER), decoded=True), keep_ids=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
