@@ -48,14 +48,16 @@ def _attributes(changes: DataFrame, image: str, order: str, event: str) -> DataF
     images = changes.selectExpr(
         f"CAST({order} AS BIGINT) AS seq", f"{event} AS event_name", f"{image} AS raw"
     ).filter("raw IS NOT NULL")
-    tagged = once(images, tagged=f"from_json(raw, {lit(TAGGED_MAP)})")
+    # The parsed map is bound inside the expression: as a column it would be copied out and read back.
+    entries = (
+        f"transform(filter({last_wins('t')}, e -> e.key NOT IN ({lits(HIDDEN_ATTRIBUTES)})),"
+        f" e -> struct(e.key, {decode_value('e.value')}))"
+    )
     return once(
-        tagged,
-        where="x.attrs IS NULL OR size(x.attrs) > 0",
-        attrs=f"map_from_entries(transform(filter({last_wins('tagged')}, e -> e.key NOT IN"
-        f" ({lits(HIDDEN_ATTRIBUTES)})),"
-        f" e -> struct(e.key, {decode_value('e.value')})))",
-    ).drop("tagged")
+        images,
+        where="attrs IS NULL OR size(attrs) > 0",
+        attrs=f"transform(array(from_json(raw, {lit(TAGGED_MAP)})), t -> map_from_entries({entries}))[0]",
+    )
 
 
 def _judged(attributes: DataFrame) -> DataFrame:
