@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 
@@ -352,3 +353,16 @@ def test_reports_are_kept_when_intermediates_go(spark, tmp_path):
     assert sum(p.is_dir() for p in (tmp_path / "ledger" / "batches").iterdir()) == 1
     assert {r["sk"] for r in store.current().collect()} == {f"success#{k}" for k in range(4)}
     assert store.is_committed(0)
+
+
+def test_a_step_has_the_tasks_of_its_own_records(spark, tmp_path):
+    """A wave of a few team leads does not take the tasks of all records of the batch."""
+    notes = [{"pk": "deal_note", "sk": str(i)} for i in range(120)]
+    leads = [{"pk": "user", "sk": f"u{i}", "organization_id": "o", "team_lead_user_id": f"u{i - 1}" if i else None} for i in range(3)]
+    made = [{"pk": "organization", "sk": "o"}, *leads, *notes]
+    store = LedgerStore(spark, str(tmp_path / "ledger"))
+    result = run_batch(records(spark, *made), 0, store, make_transport(), MigrationConfig(records_per_task=6))
+    folders = {name.split("-")[0]: int(name.split("-")[-1]) for name in os.listdir(f"{store.batch_dir(0)}/outbox")}
+    assert folders["0"] == 21 and {n for step, n in folders.items() if step != "0"} == {8}
+    found = {r["sk"] for r in store.current("result").filter("pk = 'user'").collect()}
+    assert found == {f"success#u{i}" for i in range(3)} and len(result.steps) == len(folders)

@@ -63,3 +63,14 @@ def test_the_ledger_is_not_shuffled_before_it_is_shrunk(spark, monkeypatch):
     assert "Exchange hashpartitioning" not in ledger_side
     for way in (point, found):
         assert sorted((r["org"] or "", r["org_v2"]) for r in way.collect()) == [("", None), ("", None), ("1", "v1")]
+
+
+def test_rows_of_other_entities_are_not_read(spark):
+    """A key that two entities share gives the wanted one's id, and the scan leaves the other out."""
+    rows = spark.createDataFrame(
+        [("user", "success#1", "success", "u", 1, 0), ("deal_note", "success#1", "success", "n", 2, 0)],
+        "pk string, sk string, result string, v2_value string, seq long, batch_id long",
+    )
+    found = lookup(spark.createDataFrame([("1",)], "key string"), rows, id=("user", "key"))
+    assert [r["id"] for r in found.collect()] == ["u"]
+    assert "pk IN (user)" in found._jdf.queryExecution().optimizedPlan().toString() or "= user)" in found._jdf.queryExecution().optimizedPlan().toString()
