@@ -22,6 +22,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ledgerferry.config import MigrationConfig
 from ledgerferry.operators.decode import accepted, decode
 from ledgerferry.operators.deliver import OpenTransport, Sender, send_contact
+from ledgerferry.operators.merge import Contact
 from ledgerferry.operators.outbox import outbox_path
 from ledgerferry.plans.entities import SPECS, build_requests
 from ledgerferry.plans.outcomes import ledger_rows, settle
@@ -55,13 +56,13 @@ def deliver_with_state(
             opened.append(Sender(open_transport, max_attempts, f"{outbox}/{batch}" if outbox else None))
         rows = [json.loads(text) for part in parts for text in part["request"]]
         rows.sort(key=lambda r: (r.get("seq") is not None, r.get("seq") or 0, r.get("sk") or "", r.get("payload") or ""))
-        now = json.loads(state.get[0]) if state.exists else None
+        now = Contact.of(json.loads(state.get[0])) if state.exists else None
         out = []
         for row in rows:
             delivered, now = send_contact({f: row.get(f) for f in REQUEST.names}, now, opened[0])
             out.append(json.dumps(delivered, ensure_ascii=False))
         if now is not None:
-            state.update((json.dumps(now, ensure_ascii=False),))
+            state.update((now.text,))
         yield pd.DataFrame({"delivered": out})
 
     alone = "(failure IS NOT NULL OR reject_reason IS NOT NULL)"
