@@ -3,13 +3,15 @@
 Vectors are scaled to length one, where cosine c means distance sqrt(2 - 2 c). They are dealt into
 blocks, and each block gets a cover tree once: nested levels of centres with halving radii,
 every centre of a level also one of the next, every node with the largest distance to what lies
-under it. Each pair of blocks is one task. It walks both trees together, level by level, and drops
-a pair of nodes when its centres are farther apart than the threshold plus both covering radii.
+under it. For each pair of blocks both trees are walked together, level by level, and a pair of nodes
+is dropped when its centres are farther apart than the threshold plus both covering radii.
 What is left at the finest level is compared in double precision on the original vectors.
 
-Tasks return link counts and one root for each linked vector, never pairs, so a large group of
-near copies costs no more rows than it has members. Blocks are dealt by a hash of the id, so no
-group of copies fills a task; tasks hold two blocks each, however many there are.
+Pairs return link counts and one root for each linked vector, never pairs of vectors, so a large group
+of near copies costs no more rows than it has members. Blocks are dealt by a hash of the id, so no
+group of copies fills a task. A worker holds two blocks and a bounded number of node pairs, however many
+blocks there are and however many node pairs are near. Trees are written once, and every task reads
+those it compares from there, so that disk grows with the rows; comparisons grow with their square.
 
 Defined results: vectors null, empty, zero or with null or non-finite parts link with nothing and are
 their own component; so are rows with a null id, whose component is null; vectors link with those
@@ -38,6 +40,10 @@ RADII = (1.0, 0.5, 0.25, 0.125)
 #: Vectors of a block.
 BLOCK = 4_096
 CHUNK = 1_024
+#: Pairs of nodes that a walk holds at a time, of each level.
+NODE_PAIRS = 1 << 18
+#: Pairs of trees that Spark hands to Python at a time, and what it calls that.
+TREES, ROWS_AT_A_TIME = 8, "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Distances in float32 are off by less.
 SLACK = 2e-3
 
@@ -87,12 +93,15 @@ class CoverTree:
         order = np.lexsort(path)
         self.ids, self.vectors = ids[order], vectors[order]
         self.x = x[order]
-        self.spans, self.centres, self.radius = [], [], []
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.spans, self.rows, self.centres, self.radius = [], [], [], []
         for nodes, (centres, _) in zip(reversed(path), reversed(levels), strict=True):
             own = nodes[order]
             first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
             spans = np.stack([first, np.append(first[1:], len(own))], 1)
             middle = x[centres[own[first]]]
+            self.rows.append(place[centres[own[first]]])
             away = np.sqrt(np.maximum(2 - 2 * (self.x * np.repeat(middle, spans[:, 1] - spans[:, 0], axis=0)).sum(1), 0))
             self.spans.append(spans)
             self.centres.append(middle)
@@ -106,49 +115,65 @@ class CoverTree:
         return first, np.searchsorted(starts, spans[:, 1]) - first
 
     def pack(self) -> bytes:
+        """Centres are rows, so their numbers are enough; vectors of floats stay floats."""
         out = io.BytesIO()
-        parts = {"ids": self.ids, "vectors": self.vectors}
+        with np.errstate(over="ignore"):
+            floats = self.vectors.astype(np.float32)
+        parts = {"ids": self.ids, "vectors": floats if (floats == self.vectors).all() else self.vectors}
         for k in range(len(RADII)):
-            parts |= {f"s{k}": self.spans[k], f"c{k}": self.centres[k], f"r{k}": self.radius[k]}
+            parts |= {f"s{k}": self.spans[k][:, 0].astype(np.int32), f"c{k}": self.rows[k].astype(np.int32), f"r{k}": self.radius[k]}
         np.savez(out, **parts)
         return out.getvalue()
 
     @classmethod
     def unpack(cls, data: bytes) -> CoverTree:
         tree, parts = cls.__new__(cls), np.load(io.BytesIO(data))
-        tree.ids, tree.vectors, tree.x = parts["ids"], parts["vectors"], unit(parts["vectors"])
-        tree.spans, tree.centres, tree.radius = ([parts[f"{p}{k}"] for k in range(len(RADII))] for p in "scr")
+        tree.ids, tree.vectors = parts["ids"], parts["vectors"].astype(np.float64)
+        tree.x = unit(tree.vectors)
+        firsts, tree.rows, tree.radius = ([parts[f"{p}{k}"] for k in range(len(RADII))] for p in "scr")
+        tree.spans = [np.stack([f, np.append(f[1:], len(tree.ids))], 1).astype(np.int64) for f in firsts]
+        tree.centres = [tree.x[r] for r in tree.rows]
         return tree
 
 
-def _far(a: CoverTree, b: CoverTree, level: int, i: np.ndarray, j: np.ndarray, limit: float) -> np.ndarray:
-    """Which node pairs cannot hold a link."""
-    dot = np.concatenate([(a.centres[level][i[s : s + 65_536]] * b.centres[level][j[s : s + 65_536]]).sum(1) for s in range(0, len(i), 65_536)]) if len(i) else np.zeros(0)
+def _near(a: CoverTree, b: CoverTree, level: int, i: np.ndarray, j: np.ndarray, limit: float) -> np.ndarray:
+    """Which node pairs can hold a link."""
+    step = CHUNK * 16
+    dot = np.concatenate([np.einsum("ij,ij->i", a.centres[level][i[s : s + step]], b.centres[level][j[s : s + step]]) for s in range(0, len(i), step)])
     away = np.sqrt(np.maximum(2 - 2 * dot, 0))
-    return away > limit + a.radius[level][i] + b.radius[level][j] + SLACK
+    return away <= limit + a.radius[level][i] + b.radius[level][j] + SLACK
+
+
+def _below(a: CoverTree, b: CoverTree, level: int, i: np.ndarray, j: np.ndarray, same: bool, limit: float) -> Iterator[tuple[int, int]]:
+    """Pairs of finest nodes below these pairs of nodes, NODE_PAIRS of a level at a time."""
+    if level == len(RADII) - 1:
+        yield from zip(i.tolist(), j.tolist(), strict=True)
+        return
+    fi, ni = a.children(level, i)
+    fj, nj = b.children(level, j)
+    ends = np.cumsum(ni * nj)
+    for start in range(0, int(ends[-1]) if len(ends) else 0, NODE_PAIRS):
+        k = np.arange(start, min(start + NODE_PAIRS, int(ends[-1])))
+        pair = np.searchsorted(ends, k, "right")
+        k -= (ends - ni * nj)[pair]
+        ci, cj = fi[pair] + k // nj[pair], fj[pair] + k % nj[pair]
+        if same:
+            ci, cj = ci[ci <= cj], cj[ci <= cj]
+        keep = _near(a, b, level + 1, ci, cj, limit) if len(ci) else np.zeros(0, bool)
+        yield from _below(a, b, level + 1, ci[keep], cj[keep], same, limit)
 
 
 def traverse(a: CoverTree, b: CoverTree, same: bool, limit: float) -> Iterator[tuple[int, int]]:
     """Pairs of finest nodes of the two trees that may hold links; once each if they are the same."""
-    for s in range(0, len(a.centres[0]), CHUNK):
-        dot = a.centres[0][s : s + CHUNK] @ b.centres[0].T
-        near = np.sqrt(np.maximum(2 - 2 * dot, 0)) <= limit + a.radius[0][s : s + CHUNK, None] + b.radius[0] + SLACK
-        i, j = np.nonzero(near)
+    step = max(1, min(CHUNK, 4 * NODE_PAIRS // max(1, len(b.centres[0]))))
+    for s in range(0, len(a.centres[0]), step):
+        dot = a.centres[0][s : s + step] @ b.centres[0].T
+        away = np.sqrt(np.maximum(2 - 2 * dot, 0))
+        i, j = np.nonzero(away <= limit + a.radius[0][s : s + step, None] + b.radius[0] + SLACK)
         i += s
         if same:
             i, j = i[i <= j], j[i <= j]
-        for level in range(len(RADII) - 1):
-            fi, ni = a.children(level, i)
-            fj, nj = b.children(level, j)
-            count = ni * nj
-            pair = np.repeat(np.arange(len(i)), count)
-            k = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            ci, cj = fi[pair] + k // nj[pair], fj[pair] + k % nj[pair]
-            keep = ~_far(a, b, level + 1, ci, cj, limit)
-            if same:
-                keep &= ci <= cj
-            i, j = ci[keep], cj[keep]
-        yield from zip(i.tolist(), j.tolist(), strict=True)
+        yield from _below(a, b, 0, i, j, same, limit)
 
 
 class Forest:
@@ -200,11 +225,35 @@ def links(a: CoverTree, b: CoverTree, same: bool, threshold: float) -> list[tupl
     return [(x, n, forest.root(x)) for x, n in count.items()]
 
 
+def block_links(blocks: DataFrame, threshold: float) -> DataFrame:
+    """(id, n, root) of the vectors with links, for each pair of blocks (dim, block, tree) of one dimension.
+
+    Every partition of trees meets every other in a task that reads both where they were written: nothing is
+    shuffled. A row is a pair of trees.
+    """
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, left = None, None
+        for batch in batches:
+            for dim, i, j, mine, other in zip(*(batch.column(k) for k in range(5)), strict=True):
+                if (dim.as_py(), i.as_py()) != at:
+                    at, left = (dim.as_py(), i.as_py()), CoverTree.unpack(mine.as_py())
+                same = i.as_py() == j.as_py()
+                found = links(left, left if same else CoverTree.unpack(other.as_py()), same, threshold)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)] or [pa.array([], pa.int64())] * 3, names=["id", "n", "root"])
+
+    mine = blocks.select("dim", F.col("block").alias("i"), F.col("tree").alias("mine"))
+    other = blocks.select(F.col("dim").alias("dim_j"), F.col("block").alias("j"), F.col("tree").alias("other"))
+    # As ranges, since an equation of dimensions would send all of a dimension to one task.
+    met = mine.join(other.hint("shuffle_replicate_nl"), F.expr("dim <= dim_j AND dim >= dim_j AND i <= j"))
+    return met.select("dim", "i", "j", "mine", "other").mapInArrow(pair, "id long, n long, root long")
+
+
 def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """One row per id: vec_id, n_links, component_id, kept."""
-    rows = valid_vectors(df, id_col, vector_col)
-    n = df.count()
-    parts = max(1, -(-n // BLOCK))
+    # Of rows that share an id the least vector counts; the others do not meet in a block.
+    valid = valid_vectors(df, id_col, vector_col).groupBy("id", "dim").agg(F.min("vector").alias("vector"))
+    rows = cut(valid, "vectors")
+    parts = max(1, -(-rows.count() // BLOCK))
 
     def build(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         tree = CoverTree(*one_each(group["id"].tolist(), group["vector"].tolist()))
@@ -212,25 +261,13 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "
 
     placed = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"))
     blocks = cut(placed.groupBy("dim", "block").applyInPandas(build, "dim int, block int, tree binary"), "trees")
-
-    # Each block goes to the tasks of its row and column in the upper half of the grid of blocks.
-    left = blocks.withColumn("other", F.explode(F.sequence(F.col("block"), F.lit(parts - 1))))
-    right = blocks.where("block > 0").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("block") - 1)))
-    tasks = left.select("dim", F.col("block").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"), "tree").unionByName(
-        right.select("dim", F.col("other").alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"), "tree")
-    )
-
-    def pair(group: pd.DataFrame) -> pd.DataFrame:
-        sides = group.sort_values("side")
-        found, same = [], len(sides) == 1 and sides["i"].iloc[0] == sides["j"].iloc[0]
-        if same:
-            tree = CoverTree.unpack(sides["tree"].iloc[0])
-            found = links(tree, tree, True, threshold)
-        elif len(sides) == 2:
-            found = links(*(CoverTree.unpack(t) for t in sides["tree"]), False, threshold)
-        return pd.DataFrame(found, columns=["id", "n", "root"])
-
-    linked = cut(tasks.groupBy("dim", "i", "j").applyInPandas(pair, "id long, n long, root long"), "links")
+    conf = df.sparkSession.conf
+    handed = conf.get(ROWS_AT_A_TIME)
+    conf.set(ROWS_AT_A_TIME, str(TREES))
+    try:
+        linked = cut(block_links(blocks, threshold), "links")
+    finally:
+        conf.set(ROWS_AT_A_TIME, handed)
     count = linked.groupBy("id").agg(F.sum("n").alias("n_links"))
     found = components(linked.select(F.col("id").alias("a"), F.col("root").alias("b")))
     every = df.select(F.col(id_col).alias("id")).distinct()

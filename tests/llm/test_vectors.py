@@ -1,5 +1,7 @@
 """Nearest neighbours and near-duplicate vectors against brute force."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -124,6 +126,41 @@ def test_a_large_group_returns_a_row_for_each_member_only():
     assert {(n, r) for _, n, r in found} == {(499, 0)}
 
 
+def test_a_walk_holds_few_node_pairs_where_all_are_near(monkeypatch):
+    rng = np.random.default_rng(5)
+    x = np.ones(64) + rng.normal(size=(1_200, 64)) * 0.25
+    a, b = (covertree.CoverTree(np.arange(600) + s, x[s : s + 600]) for s in (0, 600))
+    found = covertree.links(a, b, False, 0.95)
+    monkeypatch.setattr(covertree, "NODE_PAIRS", 1_000, raising=False)
+    tracemalloc.start()
+    nodes = sum(1 for _ in covertree.traverse(a, b, False, np.sqrt(2 - 2 * 0.95)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert nodes > 50_000 and peak < 4_000_000
+    assert covertree.links(a, b, False, 0.95) == found
+
+
+def test_packed_trees_are_small_and_exact():
+    rng = np.random.default_rng(6)
+    floats = rng.normal(size=(300, 64)).astype(np.float32).astype(np.float64)
+    for x, most in ((floats, 400), (floats * 1e160, 700), (floats + 1e-12, 700)):
+        tree = covertree.CoverTree(np.arange(300), x)
+        back = covertree.CoverTree.unpack(tree.pack())
+        assert (back.vectors == tree.vectors).all() and len(tree.pack()) < most * 300
+        assert all((s == t).all() and (c == d).all() for s, t, c, d in zip(tree.spans, back.spans, tree.centres, back.centres, strict=True))
+
+
+def test_trees_are_not_shuffled_to_meet(spark):
+    trees = [(2, i, covertree.CoverTree(np.arange(9) + 10 * i, np.ones((9, 2))).pack()) for i in range(4)]
+    trees += [(3, 0, covertree.CoverTree(np.arange(9) + 90, np.ones((9, 3))).pack())]
+    met = covertree.block_links(spark.createDataFrame(trees, "dim int, block int, tree binary"), 0.95)
+    assert "Exchange" not in met._jdf.queryExecution().executedPlan().toString()
+    total = {}
+    for r in met.collect():
+        total[r["id"]] = total.get(r["id"], 0) + r["n"]
+    assert total == {i: 35 if i < 90 else 8 for i in [*range(9), *range(10, 19), *range(20, 29), *range(30, 39), *range(90, 99)]}
+
+
 def test_components_of_paths_stars_and_rings(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 160)] + [(200 + i, 200 + (i + 1) % 9) for i in range(9)] + [(300, 300)]
     got = {r["id"]: r["component"] for r in components(spark.createDataFrame([e[::-1] if sum(e) % 3 else e for e in edges], "a long, b long")).collect()}
